@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.event_time import epoch_us
 from .functions.hashing import id_position
 from .operators import counts, distinct, enrich, lateness, parse, patterns, topn
 from .sources import events as source
@@ -390,9 +389,9 @@ def time_keys(spark, folder):
  CAST({K} AS VARCHAR) AS k, CAST(NULL AS VARCHAR) AS note,
  'type=' || event_type || '|k=0|note=' AS attrs_updated FROM events""")
 def kv_fields(spark, folder):
-    rows = source.table(spark, folder).select(
+    rows = source.table(spark, folder).withColumn("k", source.number()).select(
         "event_id",
-        F.concat(F.lit("type="), "event_type", F.lit("|k="), F.get_json_object("props", "$.k"),
+        F.concat(F.lit("type="), "event_type", F.lit("|k="), F.col("k").cast("string"),
                  F.lit("|note=")).alias("attrs"),
     )
     return enrich.kv_fields(rows, "attrs", r"\|", ["type", "k", "note"], {"k": "0"}, joiner="|")

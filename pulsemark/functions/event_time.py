@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, TimestampNTZType, TimestampType
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+_UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 _PER_UNIT = {"us": 1, "ms": 1_000, "s": 1_000_000}
 _INTERVALS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
               "hour": 3_600_000_000, "day": 86_400_000_000}
@@ -37,7 +38,11 @@ def epoch_us(df: DataFrame, column: str, unit: str | None = None) -> Column:
     if isinstance(kind, TimestampType):
         return F.unix_micros(F.col(column))
     if isinstance(kind, TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, `{column}`)")
+        if df.sparkSession.conf.get("spark.sql.session.timeZone") in _UTC:
+            return F.unix_micros(F.col(column).cast("timestamp"))  # free of any arithmetic
+        # a cast would read the value as local time and move it in a daylight-saving gap
+        seconds = f"CAST(CAST(`{column}` - {_EPOCH} AS INTERVAL SECOND) AS decimal(20, 6))"
+        return F.expr(f"CAST({seconds} * 1000000 AS bigint)")
     if isinstance(kind, IntegralType):
         if unit not in _PER_UNIT:
             raise ValueError(f"{column} is an integer: give its unit, one of {sorted(_PER_UNIT)}")

@@ -12,7 +12,7 @@ from ..plans.sliding import pane_counts, roll_up, sliding_counts, tumbling, wind
 def page_views(views: DataFrame, ts: str = "ts", size="1 hour", unit: str | None = None) -> DataFrame:
     """Page views per tumbling window, labelled ``pv``."""
     return (
-        views.groupBy(tumbling(epoch_us(views, ts, unit), size))
+        views.where(F.col(ts).isNotNull()).groupBy(tumbling(epoch_us(views, ts, unit), size))
         .agg(F.count(F.lit(1)).alias("count"))
         .select(F.lit("pv").alias("label"), "window_end", "count")
     )
@@ -43,7 +43,7 @@ def average_event_time(rows: DataFrame, key: str = "item_id", ts: str = "ts",
         F.col("_high").cast("decimal(38,0)") * F.lit(1 << low_bits) + F.col("_low")
     )
     return (
-        rows.select(key, epoch_us(rows, ts, unit).alias("_us")).where("_us IS NOT NULL")
+        rows.where(F.col(ts).isNotNull()).select(key, epoch_us(rows, ts, unit).alias("_us"))
         .select(key, ms.alias("_ms"))
         .groupBy(key)
         .agg(F.sum(F.shiftright("_ms", low_bits)).alias("_high"),
@@ -73,7 +73,7 @@ def market_by_channel(rows: DataFrame, ts: str = "ts", size="1 hour", slide="5 s
     """Counts per (channel, behaviour) and sliding window, uninstalls left out."""
     size, slide, keys = micros(size), micros(slide), ["channel", "behavior"]
     rows = _installed(rows)
-    panes = pane_counts(rows, epoch_us(rows, ts, unit), size, slide, keys)
+    panes = pane_counts(rows, ts, size, slide, keys, unit)
     return _market(windows_of(panes, size, slide, keys), size)
 
 
@@ -82,7 +82,7 @@ def market_total(rows: DataFrame, ts: str = "ts", size="1 hour", slide="5 second
     """The same over all channels and behaviours, labelled ``total``."""
     size, slide = micros(size), micros(slide)
     rows = _installed(rows)
-    panes = pane_counts(rows, epoch_us(rows, ts, unit), size, slide, [])
+    panes = pane_counts(rows, ts, size, slide, [], unit)
     windows = windows_of(panes, size, slide, [])
     return _market(_labelled(windows), size)
 
@@ -100,6 +100,6 @@ def market_both(rows: DataFrame, ts: str = "ts", size="1 hour", slide="5 seconds
     """
     size, slide, keys = micros(size), micros(slide), ["channel", "behavior"]
     rows = _installed(rows)
-    panes = pane_counts(rows, epoch_us(rows, ts, unit), size, slide, keys)
+    panes = pane_counts(rows, ts, size, slide, keys, unit)
     both = panes.unionByName(_labelled(roll_up(panes, [])))
     return _market(windows_of(both, size, slide, keys), size)

@@ -13,6 +13,10 @@ from ..plans.running import running
 from ..plans.sliding import tumbling
 
 
+def _timed(rows: DataFrame, ts: str) -> DataFrame:
+    return rows.where(F.col(ts).isNotNull())
+
+
 def distinct_per_window(rows: DataFrame, column: str, ts: str = "ts", size="1 minute",
                         unit: str | None = None) -> DataFrame:
     """Exact distinct values of ``column`` per tumbling window.
@@ -20,7 +24,7 @@ def distinct_per_window(rows: DataFrame, column: str, ts: str = "ts", size="1 mi
     Spark first groups by (window, value), so a busy window is spread over all
     tasks and repeats vanish before the shuffle.
     """
-    return rows.groupBy(tumbling(epoch_us(rows, ts, unit), size)).agg(
+    return _timed(rows, ts).groupBy(tumbling(epoch_us(rows, ts, unit), size)).agg(
         F.countDistinct(column).alias("count")
     )
 
@@ -35,7 +39,7 @@ def bitmaps(rows: DataFrame, column: str, ts: str = "ts", size="1 hour", unit: s
     """
     at = position(F.col(column), bits)
     return (
-        rows.where(F.col(column).isNotNull())
+        _timed(rows, ts).where(F.col(column).isNotNull())
         .select(tumbling(epoch_us(rows, ts, unit), size),
                 F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("_bit"))
         .distinct()
@@ -62,7 +66,7 @@ def count_bitmaps(states: DataFrame) -> DataFrame:
 def sketches(rows: DataFrame, column: str, ts: str = "ts", size="1 hour", unit: str | None = None,
              precision: int = 12) -> DataFrame:
     """A HyperLogLog sketch per window: fixed size, mergeable."""
-    return rows.groupBy(tumbling(epoch_us(rows, ts, unit), size)).agg(
+    return _timed(rows, ts).groupBy(tumbling(epoch_us(rows, ts, unit), size)).agg(
         F.hll_sketch_agg(column, precision).alias("sketch")
     )
 
@@ -80,7 +84,7 @@ def estimate_sketches(states: DataFrame) -> DataFrame:
 def approx_distinct_per_window(rows: DataFrame, column: str, ts: str = "ts", size="1 hour",
                                unit: str | None = None, rsd: float = 0.02) -> DataFrame:
     """One-pass estimate where no state has to be kept."""
-    return rows.groupBy(tumbling(epoch_us(rows, ts, unit), size)).agg(
+    return _timed(rows, ts).groupBy(tumbling(epoch_us(rows, ts, unit), size)).agg(
         F.approx_count_distinct(column, rsd).alias("count")
     )
 
@@ -99,9 +103,9 @@ def running_distinct(rows: DataFrame, column: str, event_id: str = "event_id", t
     With ``grain`` (e.g. ``'1 minute'``) one row per grain instead of per event.
     """
     length = micros(size)
-    events = rows.select(
+    events = _timed(rows, ts).select(
         F.col(column), F.col(event_id).alias("event_id"), epoch_us(rows, ts, unit).alias("_us")
-    ).where("_us IS NOT NULL").withColumn("window_end", tumbling(F.col("_us"), size))
+    ).withColumn("window_end", tumbling(F.col("_us"), size))
     firsts = (
         events.where(F.col(column).isNotNull()).groupBy("window_end", column)
         .agg(F.min(F.struct("_us", "event_id")).alias("_first"))

@@ -30,7 +30,7 @@ def late_records(rows: DataFrame, arrival: str, keys: Sequence[str] = (), ts: st
     """
     size, slide, delay, lateness = (micros(d) for d in (size, slide, delay, lateness))
     millisecond = 1_000
-    timed = rows.withColumn("_us", epoch_us(rows, ts, unit)).where("_us IS NOT NULL")
+    timed = rows.where(F.col(ts).isNotNull()).withColumn("_us", epoch_us(rows, ts, unit))
     seen = running(timed, keys, F.expr(f"`{arrival}` div {chunk_rows}"), [arrival, event_id],
                    "_us", "max", "_seen", exclusive=True)
     # ends of the record's first and last window; ends are `slide` apart

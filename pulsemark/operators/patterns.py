@@ -30,8 +30,9 @@ def _next(value: str, steps: int, key: str) -> Column:
 
 
 def _ordered(rows: DataFrame, ts: str, unit: str | None, event_id: str) -> DataFrame:
-    return rows.withColumn("_us", epoch_us(rows, ts, unit)).withColumn("_id", F.col(event_id)) \
-        .where("_us IS NOT NULL")
+    return rows.where(F.col(ts).isNotNull()).withColumns(
+        {"_us": epoch_us(rows, ts, unit), "_id": F.col(event_id)}
+    )
 
 
 def fail_sequences(logins: DataFrame, fails: int = 3, within="2 seconds", consecutive: bool = False,
@@ -130,27 +131,32 @@ def split_results(results: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _with_burst(moments: DataFrame, reach: int, stretch: int, payload: list[str]) -> DataFrame:
-    """Name the burst of each moment (a distinct time of a user).
+    """Name the burst of each moment (a distinct time ``_us`` of a user).
 
     Every moment sets a cut ``reach`` later, and at a cut all that was collected
     is handed out. So a moment belongs to the first cut at or after it, the one
     set by the earliest moment not more than ``reach`` before: ``burst_us``.
 
-    Each moment t asks, at t - reach, for the next moment. Asking and asked rows
-    are sorted together, and one pass answers all.
+    Each moment with failed logins (``_n``) asks, at its time less ``reach``, for
+    the next moment. Asking and asked rows are sorted together, and one pass
+    answers all.
     """
-    asked = moments.select("user_id", F.col("_us").alias("_at"), F.lit(1).alias("_id"),
-                           F.col("_us").alias("_moment"))
-    asking = moments.where("_n > 0").select("user_id", (F.col("_us") - F.lit(reach)).alias("_at"),
-                                            F.lit(0).alias("_id"), *payload)
-    both = asked.unionByName(asking, allowMissingColumns=True)
+    def mark(at: Column, kind: int, moment: Column, keep: bool) -> Column:
+        kept = [F.when(F.lit(keep), F.col(name)).alias(name) for name in payload]
+        return F.struct(at.alias("_us"), F.lit(kind).alias("_id"), moment.alias("_moment"),
+                        F.col("_us").alias("_own"), *kept)
+
+    us = F.col("_us")
+    asked = mark(us, 1, us, keep=False)
+    asking = mark(us - F.lit(reach), 0, F.lit(None).cast("bigint"), keep=True)
+    marks = moments.select("user_id", F.inline(
+        F.when(F.col("_n") > 0, F.array(asked, asking)).otherwise(F.array(asked))
+    ))
     # an asking row is never copied: only moments are looked at
-    both = with_lookahead(both, F.col("_at"), reach, stretch).where("_home OR _id = 1")
-    both = both.withColumnRenamed("_us", "_own").withColumnRenamed("_at", "_us")
+    marks = with_lookahead(marks, us, reach, stretch).where("_home OR _id = 1")
     return (
-        both.withColumn("burst_us", _next("_moment", 1, "user_id")).where("_id = 0")
-        .drop("_us", "_id", "_moment", "_stretch", "_home")
-        .withColumnRenamed("_own", "_us")
+        marks.withColumn("burst_us", _next("_moment", 1, "user_id")).where("_id = 0")
+        .select("user_id", "burst_us", F.col("_own").alias("_us"), *payload)
     )
 
 
@@ -168,7 +174,7 @@ def fail_bursts(logins: DataFrame, within="2 seconds", ts: str = "event_time",
         F.min(F.struct("_id", "ip", "event_type", F.col(ts).alias("event_time"))).alias("_head"),
     )
     return (
-        _with_burst(moments, reach, stretch, ["_us", "_n", "_head"])
+        _with_burst(moments, reach, stretch, ["_n", "_head"])
         .groupBy("user_id", "burst_us")
         .agg(F.sum("_n").alias("size"), F.min(F.struct("_us", "_head")).alias("_first"))
         .where("size > 1")
@@ -193,7 +199,7 @@ def fail_burst_members(logins: DataFrame, within="2 seconds", ts: str = "event_t
     moments = rows.groupBy("user_id", "_us").agg(F.count_if(failed).alias("_n"))
     in_burst = Window.partitionBy("user_id", "burst_us")
     placed = (
-        _with_burst(moments, reach, stretch, ["_us", "_n"])
+        _with_burst(moments, reach, stretch, ["_n"])
         .withColumn("size", F.sum("_n").over(in_burst))
         .where("size > 1")
         .select("user_id", "_us", F.col("burst_us").alias("burst_id"), "size")

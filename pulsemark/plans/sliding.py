@@ -26,12 +26,13 @@ from ..functions.event_time import epoch_us, floor_to, interval, micros, to_ms
 STRETCH = 24
 
 
-def pane_counts(df: DataFrame, us: Column, size: int, slide: int, keys: Sequence[str]) -> DataFrame:
+def pane_counts(df: DataFrame, ts: str, size: int, slide: int, keys: Sequence[str],
+                unit: str | None = None) -> DataFrame:
     """Rows per key and pane; columns ``keys``, ``_pane`` (start, µs), ``_n``."""
+    pane = floor_to(epoch_us(df, ts, unit), gcd(size, slide))
     return (
-        df.where(us.isNotNull())
-        .groupBy(*keys, floor_to(us, gcd(size, slide)).alias("_pane"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        df.where(F.col(ts).isNotNull())
+        .groupBy(*keys, pane.alias("_pane")).agg(F.count(F.lit(1)).alias("_n"))
     )
 
 
@@ -68,10 +69,11 @@ def windows_of(panes: DataFrame, size: int, slide: int, keys: Sequence[str]) ->
         )
     )
     over = Window.partitionBy(*keys, "_stretch").orderBy("_at")
+    panes = panes.withColumn("_first", first).withColumn("_last", last)
+    if slide > size:  # panes between two windows; left out else, as it would be pushed down to each row
+        panes = panes.where("_first <= _last")
     return (
-        panes.withColumn("_first", first).withColumn("_last", last)
-        .where("_first <= _last")
-        .select(*keys, F.inline(edges))
+        panes.select(*keys, F.inline(edges))
         # ordered without a row frame: edges at one instant count together
         .withColumn("count", F.sum("_delta").over(over))
         .withColumn("_next", F.lead("_at").over(over))
@@ -89,7 +91,7 @@ def sliding_counts(df: DataFrame, ts: str, size, slide, keys: Sequence[str] = ()
                    unit: str | None = None) -> DataFrame:
     """Rows per sliding window and key: ``keys``, ``window_end`` (ms), ``count``."""
     size, slide = micros(size), micros(slide)
-    panes = pane_counts(df, epoch_us(df, ts, unit), size, slide, keys)
+    panes = pane_counts(df, ts, size, slide, keys, unit)
     return windows_of(panes, size, slide, keys).select(
         *keys, to_ms(F.col("_start") + F.lit(size)).alias("window_end"), "count"
     )
@@ -98,7 +100,7 @@ def sliding_counts(df: DataFrame, ts: str, size, slide, keys: Sequence[str] = ()
 def sliding_counts_plain(df: DataFrame, ts: str, size, slide, keys: Sequence[str] = (),
                          unit: str | None = None) -> DataFrame:
     """The same with ``F.window`` alone; the yardstick of tests and bench."""
-    timed = df.withColumn("_ts", F.timestamp_micros(epoch_us(df, ts, unit)))
+    timed = df.where(F.col(ts).isNotNull()).withColumn("_ts", F.timestamp_micros(epoch_us(df, ts, unit)))
     window = F.window("_ts", interval(size), interval(slide))
     return (
         timed.groupBy(*keys, window.alias("_w")).agg(F.count(F.lit(1)).alias("count"))

@@ -32,16 +32,18 @@ def _renamed(column: str, names: dict[str, str]) -> Column:
     return cases
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+def number() -> Column:
+    """The number in ``props``. Its layout is fixed, ``{"k": n}``, and a pattern
+    reads it many times faster than a JSON parser."""
+    return F.regexp_extract("props", r'"k"\s*:\s*(-?\d+)', 1).try_cast("bigint")
 
 
 def user_behavior(events: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
     """Behaviour rows; ``only`` keeps some behaviours (``['pv']``)."""
     names = {old: new for old, new in BEHAVIORS.items() if only is None or new in only}
     return events.where(F.col("event_type").isin(*names)).select(
-        "event_id", "ts", "user_id", _k().alias("item_id"),
-        F.pmod(_k(), F.lit(20)).cast("int").alias("category_id"),
+        "event_id", "ts", "user_id", number().alias("item_id"),
+        F.pmod(number(), F.lit(20)).cast("int").alias("category_id"),
         _renamed("event_type", names).alias("behavior"),
     )
 
@@ -68,7 +70,7 @@ def access_lines(events: DataFrame) -> DataFrame:
     return events.select(F.concat_ws(
         " ", ip, F.lit("-"), F.lit("-"), time, F.lit("+0000"),
         F.when(F.col("event_type") == "view", "GET").otherwise("POST"),
-        F.concat(F.lit("/www/"), F.pmod(_k(), F.lit(10))),
+        F.concat(F.lit("/www/"), F.pmod(number(), F.lit(10))),
     ).alias("value"))
 
 
@@ -82,7 +84,7 @@ def market_behavior(events: DataFrame, installed: bool = False) -> DataFrame:
     behavior = F.when(F.col("event_type") == "error", "UNINSTALL").otherwise(F.col("event_type"))
     return events.select(
         "event_id", "ts", F.col("user_id").cast("string").alias("user_id"),
-        behavior.alias("behavior"), F.pmod(_k(), F.lit(4)).cast("string").alias("channel"),
+        behavior.alias("behavior"), F.pmod(number(), F.lit(4)).cast("string").alias("channel"),
     )
 
 
@@ -94,7 +96,7 @@ def login_events(events: DataFrame, failed: bool = False) -> DataFrame:
     if failed:
         events = events.where(F.col("event_type") == "error")
     return events.select(
-        "event_id", "user_id", F.concat(F.lit("10.0.0."), F.pmod(_k(), F.lit(256))).alias("ip"),
+        "event_id", "user_id", F.concat(F.lit("10.0.0."), F.pmod(number(), F.lit(256))).alias("ip"),
         F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("event_type"),
         F.col("ts").alias("event_time"),
     )

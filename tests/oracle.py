@@ -50,7 +50,7 @@ if __name__ == "__main__":
 
     folder, wanted = sys.argv[1], sys.argv[2:]
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", os.environ.get("ZONE", "UTC")).getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
     con = connect(folder)
