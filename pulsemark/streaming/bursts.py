@@ -1,0 +1,115 @@
+"""Bursts of failed logins on a stream, with state and timers per user.
+
+Micro-batches hand over a batch's rows before its expired timers, so a timer may
+find rows later than its cut. Cuts and rows are therefore kept with their exact
+times, and at a timer only rows up to the cut are handed out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from ..functions.event_time import interval, micros
+from ..operators.patterns import FAIL
+
+_PENDING = "us bigint, event_id bigint, ip string"
+_CUT = "us bigint"
+HEADS = "user_id bigint, event_id bigint, ip string, event_type string, size bigint"
+MEMBERS = "user_id bigint, cut_us bigint, size bigint, event_id bigint, ip string, event_type string"
+
+
+def _timer(cut_us: int) -> int:
+    """First whole millisecond at or after the cut."""
+    return -(-cut_us // 1000)
+
+
+class Bursts(StatefulProcessor):
+    """``reach`` in µs. ``members``: every row of a burst instead of its first."""
+
+    def __init__(self, reach: int, members: bool) -> None:
+        self.reach = reach
+        self.members = members
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getListState("pending", _PENDING)
+        self.cuts = handle.getListState("cuts", _CUT)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        fails, cuts = [], []
+        for row in rows:
+            cuts.append(row.us + self.reach)
+            if row.event_type == FAIL:
+                fails.append((row.us, row.event_id, row.ip))
+        if fails:
+            self.pending.appendList(fails)
+        self.cuts.appendList([(cut,) for cut in cuts])
+        self._arm(min(cuts))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        cuts = sorted(cut for (cut,) in self.cuts.get())
+        waiting = sorted(tuple(row) for row in self.pending.get())
+        due = [cut for cut in cuts if _timer(cut) <= now]
+        out: list[Row] = []
+        for cut in due:
+            taken = [row for row in waiting if row[0] <= cut]
+            waiting = waiting[len(taken):]
+            if len(taken) > 1:
+                out.extend(self._rows(key[0], cut, taken))
+        later = cuts[len(due):]
+        self._replace(self.pending, waiting)
+        self._replace(self.cuts, [(cut,) for cut in later])
+        if later:
+            self._arm(later[0])
+        return iter(out)
+
+    def _arm(self, cut: int) -> None:
+        """One timer per user is enough: when it goes off, all cuts that are due are handled."""
+        at = _timer(cut)
+        armed = list(self.handle.listTimers())
+        if not armed or at < min(armed):
+            self.handle.registerTimer(at)
+
+    def _rows(self, user_id, cut, taken) -> list[Row]:
+        size = len(taken)
+        if self.members:
+            return [Row(user_id=user_id, cut_us=cut, size=size, event_id=event_id, ip=ip, event_type=FAIL)
+                    for _, event_id, ip in taken]
+        _, event_id, ip = taken[0]
+        return [Row(user_id=user_id, event_id=event_id, ip=ip, event_type=FAIL, size=size)]
+
+    @staticmethod
+    def _replace(state, rows) -> None:
+        if rows:
+            state.put(rows)
+        else:
+            state.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def fail_bursts(logins: DataFrame, within="2 seconds", delay="0 seconds",
+                members: bool = False) -> DataFrame:
+    """Bursts of two or more failed logins (append mode).
+
+    Columns of ``logins``: ``user_id, event_id, ip, event_type, ts``. Without
+    ``members`` only failed logins set cuts, so filter them at the source; with
+    ``members`` every event does. Start it under ``jobs.STATE_SETTINGS``.
+    """
+    rows = logins.withWatermark("ts", interval(delay)).selectExpr(
+        "user_id", "event_id", "ip", "event_type", "ts", "unix_micros(ts) AS us"
+    )
+    if not members:
+        rows = rows.where(rows.event_type == FAIL)
+    return rows.groupBy("user_id").transformWithState(
+        statefulProcessor=Bursts(micros(within), members),
+        outputStructType=MEMBERS if members else HEADS,
+        outputMode="Append",
+        timeMode="eventTime",
+    )
