@@ -394,7 +394,7 @@ def kv_fields(spark, folder):
         F.concat(F.lit("type="), "event_type", F.lit("|k="), F.col("k").cast("string"),
                  F.lit("|note=")).alias("attrs"),
     )
-    return enrich.kv_fields(rows, "attrs", r"\|", ["type", "k", "note"], {"k": "0"}, joiner="|")
+    return enrich.kv_fields(rows, "attrs", r"\|", ["type", "k", "note"], {"k": "0"})
 
 
 @query("text_helpers", """SELECT event_id, event_type IS NULL OR event_type = '' AS empty,

@@ -1,4 +1,7 @@
-"""String helpers, and fields of ``k=v<delimiter>k=v`` text."""
+"""String helpers, and fields of ``k=v<delimiter>k=v`` text.
+
+Each is one built-in regular-expression call, so it stays in generated code.
+"""
 
 from __future__ import annotations
 
@@ -24,34 +27,30 @@ def pad_two(text: Column) -> Column:
     return F.when(F.length(text) == 2, text).otherwise(F.concat(F.lit("0"), text))
 
 
-def _pieces(item: Column) -> Column:
-    """Key and value of one item; trailing empty pieces do not count."""
-    return F.split(F.regexp_replace(item, "=+$", ""), "=")
+def _literal(text: str) -> str:
+    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
 def get_field(text: Column, delimiter: str, field: str) -> Column:
     """Value of the first item ``field=value``; null when absent or empty.
 
-    ``delimiter`` is a regular expression.
+    ``delimiter`` is a regular expression without groups. Trailing ``=`` of an
+    item are dropped; an item with another ``=`` in its value is not a match.
     """
-    hits = F.filter(
-        F.transform(F.split(text, delimiter), _pieces),
-        lambda kv: (F.size(kv) == 2) & (kv[0] == field),
+    inside = f"(?:(?!{delimiter})[^=])"
+    found = F.regexp_extract(
+        text, f"(?:^|{delimiter}){_literal(field)}=({inside}+)=*(?={delimiter}|\\z)", 1
     )
-    return F.get(F.get(hits, 0), 1)
+    return F.nullif(found, F.lit(""))
 
 
-def set_field(text: Column, delimiter: str, field: str, value: Column | str,
-              joiner: str | None = None) -> Column:
-    """Replace the value of ``field`` where present; order and other items stay.
+def set_field(text: Column, delimiter: str, field: str, value: Column | str) -> Column:
+    """Give every item named ``field`` the new value; all other text stays as it is.
 
-    ``joiner`` is the literal written between items when ``delimiter`` is an
-    escaped regular expression.
+    A field that is not there is not added.
     """
     value = F.lit(value) if isinstance(value, str) else value
-    items = F.transform(
-        F.split(text, delimiter),
-        lambda item: F.when(F.get(_pieces(item), 0) == field,
-                            F.concat(F.lit(field + "="), value)).otherwise(item),
-    )
-    return F.array_join(items, joiner if joiner is not None else delimiter)
+    item = f"(?s)(^|{delimiter}){_literal(field)}(?:=(?:(?!{delimiter}).)*)?(?={delimiter}|\\z)"
+    quoted = F.regexp_replace(value, r"([\\$])", r"\\$1")
+    name = field.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(text, F.lit(item), F.concat(F.lit("$1" + name + "="), quoted))

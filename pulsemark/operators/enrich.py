@@ -26,7 +26,7 @@ def time_keys(rows: DataFrame, ts: str, reference: str) -> DataFrame:
 
 
 def kv_fields(rows: DataFrame, column: str, delimiter: str, fields: list[str],
-              updates: dict[str, str] | None = None, joiner: str | None = None) -> DataFrame:
+              updates: dict[str, str] | None = None) -> DataFrame:
     """Read ``fields`` of a ``k=v`` column into columns, and write ``updates`` into it.
 
     The rewritten text goes to ``<column>_updated``.
@@ -34,7 +34,7 @@ def kv_fields(rows: DataFrame, column: str, delimiter: str, fields: list[str],
     read = {name: text.get_field(F.col(column), delimiter, name) for name in fields}
     rewritten = F.col(column)
     for name, value in (updates or {}).items():
-        rewritten = text.set_field(rewritten, delimiter, name, value, joiner)
+        rewritten = text.set_field(rewritten, delimiter, name, value)
     if updates:
         read[f"{column}_updated"] = rewritten
     return rows.withColumns(read)

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.event_time import interval, micros
 from ..operators.patterns import FAIL
+from .jobs import ASCENDING
 
 _PENDING = "us bigint, event_id bigint, ip string"
 _CUT = "us bigint"
@@ -47,7 +48,7 @@ class Bursts(StatefulProcessor):
         if fails:
             self.pending.appendList(fails)
         self.cuts.appendList([(cut,) for cut in cuts])
-        self._arm(min(cuts))
+        self._arm(min(cuts), timerValues.getCurrentWatermarkInMs())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -65,13 +66,14 @@ class Bursts(StatefulProcessor):
         self._replace(self.pending, waiting)
         self._replace(self.cuts, [(cut,) for cut in later])
         if later:
-            self._arm(later[0])
+            self._arm(later[0], now)
         return iter(out)
 
-    def _arm(self, cut: int) -> None:
-        """One timer per user is enough: when it goes off, all cuts that are due are handled."""
+    def _arm(self, cut: int, now: int) -> None:
+        """One timer per user is enough: when it goes off, all cuts that are due are
+        handled. Timers up to ``now`` are going off already and are still listed."""
         at = _timer(cut)
-        armed = list(self.handle.listTimers())
+        armed = [timer for timer in self.handle.listTimers() if timer > now]
         if not armed or at < min(armed):
             self.handle.registerTimer(at)
 
@@ -94,7 +96,7 @@ class Bursts(StatefulProcessor):
         pass
 
 
-def fail_bursts(logins: DataFrame, within="2 seconds", delay="0 seconds",
+def fail_bursts(logins: DataFrame, within="2 seconds", delay=ASCENDING,
                 members: bool = False) -> DataFrame:
     """Bursts of two or more failed logins (append mode).
 

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.event_time import interval, micros
 from ..operators.patterns import CREATE, PAY, SUCCESS, TIMEOUT
 
+# Delay for a stream in time order: a millisecond, so that rows of the newest instant are not late.
+ASCENDING = "1 millisecond"
+
 # Settings a query needs while it is started (see session.session_conf).
 # With the default policy, min, the clock would stop when one of the two sides
 # falls silent; both sides come from one source, so the later one is right.
@@ -29,7 +32,7 @@ def _end(window: str) -> F.Column:
 
 
 def final_counts(stream: DataFrame, keys: Sequence[str], size="1 hour", slide="5 seconds",
-                 delay="0 seconds") -> DataFrame:
+                 delay=ASCENDING) -> DataFrame:
     """Sliding counts, each once, when the watermark has passed it (append mode).
 
     Two chained aggregations: panes as long as the slide first, so the state and
@@ -54,7 +57,8 @@ def updating_counts(stream: DataFrame, keys: Sequence[str], size="1 minute", sli
     """Sliding counts with early results and corrections (update mode).
 
     A window takes records until the watermark, ``delay + lateness`` behind, has
-    passed its end.
+    passed its end. Spark drops a late record by the watermark of the batch
+    before, so a window may take records for one batch longer, never shorter.
     """
     behind = f"{micros(delay) + micros(lateness)} microseconds"
     return (
@@ -65,7 +69,7 @@ def updating_counts(stream: DataFrame, keys: Sequence[str], size="1 minute", sli
     )
 
 
-def page_views(stream: DataFrame, size="1 hour", delay="0 seconds") -> DataFrame:
+def page_views(stream: DataFrame, size="1 hour", delay=ASCENDING) -> DataFrame:
     """Page views per tumbling window (append or update mode)."""
     return (
         stream.withWatermark("ts", interval(delay))
@@ -74,7 +78,7 @@ def page_views(stream: DataFrame, size="1 hour", delay="0 seconds") -> DataFrame
     )
 
 
-def distinct_final(stream: DataFrame, column: str, size="1 hour", delay="0 seconds") -> DataFrame:
+def distinct_final(stream: DataFrame, column: str, size="1 hour", delay=ASCENDING) -> DataFrame:
     """Distinct values per tumbling window, each once (append mode)."""
     return (
         stream.withWatermark("ts", interval(delay))
@@ -85,7 +89,7 @@ def distinct_final(stream: DataFrame, column: str, size="1 hour", delay="0 secon
     )
 
 
-def first_seen(stream: DataFrame, column: str, size="1 hour", delay="0 seconds") -> DataFrame:
+def first_seen(stream: DataFrame, column: str, size="1 hour", delay=ASCENDING) -> DataFrame:
     """Each value's first row in its tumbling window, as it arrives (append mode).
 
     Summed up per window it is the running distinct count; the sum is left to
@@ -99,7 +103,7 @@ def first_seen(stream: DataFrame, column: str, size="1 hour", delay="0 seconds")
     )
 
 
-def order_results(orders: DataFrame, within="15 minutes", delay="0 seconds") -> DataFrame:
+def order_results(orders: DataFrame, within="15 minutes", delay=ASCENDING) -> DataFrame:
     """``success`` or ``timeout`` per created order (append mode).
 
     An outer interval join: a create without a pay comes out when the watermark

@@ -1,0 +1,129 @@
+from __future__ import annotations
+
+import pytest
+
+from helpers import (BASE_MS, brute_bursts, brute_orders, brute_sequences, logins, orders, random_logins)
+from pulsemark.operators import patterns
+
+MS = dict(unit="ms")
+
+
+def seconds(spark, rows):
+    return spark.createDataFrame(
+        [(i, *row) for i, row in enumerate(rows)],
+        "event_id bigint, user_id bigint, ip string, event_type string, event_time bigint",
+    )
+
+
+BURST = [(1, "192.168.0.1", "fail", 1558430842), (1, "192.168.0.2", "fail", 1558430843),
+         (1, "192.168.0.3", "fail", 1558430844), (2, "192.168.10.10", "success", 1558430845)]
+SEQUENCE = [(1, "192.168.0.1", "fail", 1558430832), (1, "192.168.0.2", "fail", 1558430843),
+            (1, "192.168.0.3", "fail", 1558430844), (2, "192.168.10.10", "success", 1558430845),
+            (2, "192.168.10.11", "fail", 1558430846), (2, "192.168.10.12", "fail", 1558430847)]
+
+
+def test_burst_literal_rows(spark):
+    rows = patterns.fail_bursts(seconds(spark, BURST), unit="s").collect()
+    assert [(r.user_id, r.ip, r.event_type, r.event_time, r.size) for r in rows] == [
+        (1, "192.168.0.1", "fail", 1558430842, 3)]
+    members = patterns.fail_burst_members(seconds(spark, BURST), unit="s").collect()
+    assert sorted(r.ip for r in members) == ["192.168.0.1", "192.168.0.2", "192.168.0.3"]
+    assert {r.size for r in members} == {3}
+
+
+def test_sequence_literal_rows(spark):
+    frame = seconds(spark, SEQUENCE)
+    assert patterns.fail_sequences(frame, unit="s").count() == 0
+    pairs = patterns.fail_pairs(frame, unit="s").collect()
+    assert sorted((r.user_id, r.first_ip, r.second_ip) for r in pairs) == [
+        (1, "192.168.0.2", "192.168.0.3"), (2, "192.168.10.11", "192.168.10.12")]
+
+
+def test_sequence_success_between_second_and_third(spark):
+    frame = logins(spark, [(1, "a", "fail", 0), (1, "b", "fail", 500), (1, "c", "success", 900),
+                           (1, "d", "fail", 1999)])
+    assert [r.ip for r in patterns.fail_sequences(frame, **MS).collect()] == ["b"]
+    assert patterns.fail_sequences(frame, consecutive=True, **MS).count() == 0
+
+
+def test_sequence_exactly_two_seconds(spark):
+    frame = logins(spark, [(2, "a", "fail", 0), (2, "b", "fail", 500), (2, "d", "fail", 2000)])
+    assert patterns.fail_sequences(frame, **MS).count() == 0
+    pairs = patterns.fail_pairs(frame, **MS).collect()
+    assert sorted((r.first_ip, r.second_ip) for r in pairs) == [("a", "b"), ("b", "d")]
+
+
+def test_sequence_success_after_start(spark):
+    frame = logins(spark, [(3, "a", "fail", 0), (3, "b", "success", 100), (3, "c", "fail", 200),
+                           (3, "d", "fail", 300)])
+    assert patterns.fail_sequences(frame, **MS).count() == 0
+    assert [(r.first_ip, r.second_ip) for r in patterns.fail_pairs(frame, **MS).collect()] == [("c", "d")]
+
+
+def test_burst_cut_is_inclusive(spark):
+    frame = logins(spark, [(1, "a", "fail", 0), (1, "b", "fail", 2000), (1, "c", "fail", 2001),
+                           (1, "d", "fail", 4000), (1, "e", "fail", 9000)])
+    rows = patterns.fail_bursts(frame, **MS).collect()
+    assert sorted((r.ip, r.size) for r in rows) == [("a", 2), ("c", 2)]
+
+
+def test_burst_success_cuts_in_member_form(spark):
+    frame = logins(spark, [(1, "x", "success", -1500), (1, "a", "fail", 0), (1, "b", "fail", 1000)])
+    assert [r.ip for r in patterns.fail_bursts(frame, **MS).collect()] == ["a"]
+    assert patterns.fail_burst_members(frame, **MS).count() == 0
+
+
+def test_order_literal_rows(spark):
+    frame = spark.createDataFrame(
+        [(0, 1, "create", 1558430842), (1, 2, "create", 1558430843), (2, 2, "pay", 1558430844)],
+        "event_id bigint, order_id bigint, event_type string, event_time bigint")
+    done = patterns.order_results(frame, unit="s")
+    assert sorted((r.order_id, r.event_type) for r in done.collect()) == [(1, "timeout"), (2, "success")]
+    success, timeout = patterns.split_results(done)
+    assert ([r.order_id for r in success.collect()], [r.order_id for r in timeout.collect()]) == ([2], [1])
+
+
+@pytest.mark.parametrize("rows, expected", [
+    ([(1, "create", 0), (1, "pay", 900_000)], ["timeout"]),
+    ([(1, "create", 0), (1, "pay", 899_999)], ["success"]),
+    ([(1, "create", 0), (1, "pay", 1000), (1, "pay", 2000)], ["success"]),
+    ([(1, "pay", 0)], []),
+    ([(1, "create", 0), (1, "create", 10), (1, "pay", 20)], ["success", "success"]),
+    ([(1, "pay", 0), (1, "create", 0)], ["timeout"]),
+    ([(1, "create", 0), (1, "pay", 0)], ["success"]),
+])
+def test_order_boundaries(spark, rows, expected):
+    assert [r.event_type for r in patterns.order_results(orders(spark, rows), **MS).collect()] == expected
+
+
+def test_order_strict(spark):
+    frame = orders(spark, [(1, "create", 0), (1, "ship", 10), (1, "pay", 20), (2, "create", 0),
+                           (2, "pay", 10), (3, "create", 0), (4, "create", 0), (4, "ship", 900_000)])
+    rows = patterns.order_results(frame, strict=True, **MS).collect()
+    assert sorted((r.order_id, r.event_type) for r in rows) == [
+        (2, "success"), (3, "timeout"), (4, "timeout")]
+
+
+# A hot user, ties in time, and stretches from tight to wide: always the brute-force answer.
+@pytest.mark.parametrize("seed, stretch", [(1, 1), (2, 2), (3, 8), (4, 1000)])
+def test_against_brute_force(spark, seed, stretch):
+    rows = random_logins(seed)
+    frame = logins(spark, rows).repartition(5)
+    for fails, consecutive in [(2, False), (3, False), (3, True), (4, False)]:
+        got = patterns.fail_sequences(frame, fails, consecutive=consecutive, stretch=stretch, **MS)
+        assert sorted((r.user_id, r.start_id, r.event_id, r.ip) for r in got.collect()) == \
+            brute_sequences(rows, fails, 2000, consecutive)
+
+    heads = patterns.fail_bursts(frame, stretch=stretch, **MS).collect()
+    assert sorted((r.user_id, r.event_id, r.size) for r in heads) == sorted(
+        (u, taken[0][1], len(taken)) for u, _, taken in brute_bursts(rows, 2000, all_cut=False))
+
+    members = patterns.fail_burst_members(frame, stretch=stretch, **MS).collect()
+    assert sorted((r.user_id, r.burst_id // 1000 + 2000 - BASE_MS, r.size, r.event_id) for r in members) == sorted(
+        (u, cut, len(taken), e[1]) for u, cut, taken in brute_bursts(rows, 2000, all_cut=True) for e in taken)
+
+    kinds = {"fail": "create", "success": "pay"}
+    order_rows = [(u, kinds[kind], at) for u, _, kind, at in rows]
+    got = patterns.order_results(orders(spark, order_rows), within="2 seconds", stretch=stretch, **MS)
+    assert sorted((r.order_id, r.create_id, r.event_type) for r in got.collect()) == \
+        brute_orders(order_rows, 2000)
