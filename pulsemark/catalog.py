@@ -136,12 +136,12 @@ def hot_items_counts_5s(spark, folder):
 
 @query("hot_items_topn", _top(ITEMS_SQL, "item_id", 3))
 def hot_items_topn(spark, folder):
-    return topn.top_n(hot_items_counts(spark, folder), "item_id", 3)
+    return topn.top_n_sliding(_views(spark, folder), "item_id", 3, slide="5 minutes")
 
 
 @query("hot_items_topn_5s", _top(_sliding(VIEWS, HOUR, 5_000, "item_id"), "item_id", 3))
 def hot_items_topn_5s(spark, folder):
-    return topn.top_n(hot_items_counts_5s(spark, folder), "item_id", 3)
+    return topn.top_n_sliding(_views(spark, folder), "item_id", 3)
 
 
 @query("hot_items_report", _report(_top(ITEMS_SQL, "item_id", 3), "item_id", topn.ITEM_LABEL,
@@ -157,7 +157,7 @@ def hot_urls_counts(spark, folder):
 
 @query("hot_urls_topn", _top(URLS_SQL, "url", 5))
 def hot_urls_topn(spark, folder):
-    return topn.top_n(hot_urls_counts(spark, folder), "url", 5)
+    return topn.top_n_sliding(_requests(spark, folder), "url", 5, ts="event_time", size="1 minute", unit="ms")
 
 
 @query("hot_urls_report", _report(_top(URLS_SQL, "url", 5), "url", topn.URL_LABEL,

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.event_time import timestamp_text
+from ..functions.event_time import floor_to, micros, timestamp_text, to_ms
+from ..plans.sliding import pane_counts, segments_of, starts_of, windows_of
 
 # The words and rules of the two reports.
 TIME_LABEL = "时间："
@@ -26,6 +27,68 @@ def top_n(counts: DataFrame, key: str, n: int) -> DataFrame:
     )
 
 
+def top_n_sliding(rows: DataFrame, key: str, n: int, ts: str = "ts", size="1 hour", slide="5 seconds",
+                  unit: str | None = None, buckets: int = 128) -> DataFrame:
+    """``top_n`` of sliding counts, leaving out what cannot rank before windows are written out.
+
+    With 720 windows per hour the counts of all keys in all windows may outnumber
+    the input. Over a block of neighbouring windows a key's count has a floor
+    (zero unless it is present throughout) and a ceiling. If ``n`` keys have a
+    floor above a key's ceiling, that key ranks in none of the block's windows.
+    Keys are compared within ``buckets`` by hash, where they lie together
+    already, so the test needs no further shuffle; being against fewer keys it
+    only ever keeps more. The result is that of ``top_n``.
+    """
+    size, slide = micros(size), micros(slide)
+    panes = pane_counts(rows, ts, size, slide, [key], unit)
+    steps = _block_steps(size, slide)
+    if steps < 4:  # blocks as fine as the windows: nothing to gain
+        windows = windows_of(panes, size, slide, [key])
+    else:
+        windows = _contenders(panes, key, n, size, slide, steps * slide, buckets)
+    return top_n(
+        windows.select(key, to_ms(F.col("_start") + F.lit(size)).alias("window_end"), "count"), key, n
+    )
+
+
+def _block_steps(size: int, slide: int) -> int:
+    """Slides per block: a divisor of the slides per window, about a twelfth of them."""
+    steps, rest = divmod(size, slide)
+    if rest:
+        return 1
+    return max(d for d in range(1, max(1, steps // 12) + 1) if steps % d == 0)
+
+
+def _contenders(panes: DataFrame, key: str, n: int, size: int, slide: int, block: int,
+                buckets: int) -> DataFrame:
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
+    segments = segments_of(panes.withColumn("_bucket", bucket), size, slide, [key], spread=["_bucket"])
+    first, last = floor_to(F.col("_at"), block), floor_to(F.col("_next") - F.lit(slide), block)
+    pieces = segments.withColumn(
+        "_block", F.explode(F.sequence(first, last, F.lit(block).cast("bigint")))
+    ).withColumns({
+        "_at": F.greatest("_at", "_block"), "_next": F.least("_next", F.col("_block") + F.lit(block)),
+    })
+    # at most one piece per window of the block
+    per_block = pieces.groupBy("_bucket", "_stretch", key, "_block").agg(
+        F.max("count").alias("_ceiling"), F.min("count").alias("_least"),
+        F.sum(F.col("_next") - F.col("_at")).alias("_covered"),
+        F.collect_list(F.struct("_at", "_next", "count")).alias("_pieces"),
+    )
+    floor = F.when(F.col("_covered") == F.lit(block), F.col("_least")).otherwise(F.lit(0))
+    rivals = (
+        Window.partitionBy("_bucket", "_stretch", "_block").orderBy(F.desc("_floor"))
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    return (
+        per_block.withColumn("_floor", floor)
+        .withColumn("_bar", F.nth_value("_floor", n).over(rivals))
+        .where("_bar IS NULL OR _ceiling >= _bar")
+        .select(key, F.inline("_pieces"))
+        .select(key, F.explode(starts_of(slide)).alias("_start"), "count")
+    )
+
+
 def _report(ranked: DataFrame, key: str, key_label: str, count_label: str, rule: str) -> DataFrame:
     # at most n rows per window, and already partitioned by window: no new shuffle
     rows = F.sort_array(F.collect_list(F.struct("rank", key, "count")))

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from ..functions.event_time import epoch_us, floor_to, interval, micros, to_ms
 
-# Windows sizes per stretch of time handled by one group.
-STRETCH = 24
+# Window sizes per stretch of time handled by one group.
+STRETCH = 8
 
 
 def pane_counts(df: DataFrame, ts: str, size: int, slide: int, keys: Sequence[str],
@@ -41,13 +41,20 @@ def roll_up(panes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return panes.groupBy(*keys, "_pane").agg(F.sum("_n").alias("_n"))
 
 
-def windows_of(panes: DataFrame, size: int, slide: int, keys: Sequence[str]) -> DataFrame:
-    """Window counts of pane counts: ``keys``, ``_start`` (µs), ``count``.
+def stretch_of(size: int, slide: int) -> int:
+    return -(-STRETCH * size // slide) * slide
+
+
+def segments_of(panes: DataFrame, size: int, slide: int, keys: Sequence[str],
+                spread: Sequence[str] = ()) -> DataFrame:
+    """Runs of window starts with one count: ``keys``, ``_stretch``, ``_at``, ``_next``, ``count``.
 
-    Only windows that hold a row appear.
+    Starts run from ``_at`` to before ``_next`` in steps of the slide. Only
+    windows that hold a row appear. ``spread`` names columns, made of the keys,
+    that shall place the rows (with ``_stretch``) instead of the keys.
     """
     width = gcd(size, slide)
-    stretch = -(-STRETCH * size // slide) * slide
+    stretch = stretch_of(size, slide)
 
     first = -floor_to(-(F.col("_pane") + F.lit(width - size)), slide)
     last = floor_to(F.col("_pane"), slide)
@@ -68,22 +75,31 @@ def windows_of(panes: DataFrame, size: int, slide: int, keys: Sequence[str]) ->
             edge(tail, tail, enter), edge(tail, end, leave),
         )
     )
-    over = Window.partitionBy(*keys, "_stretch").orderBy("_at")
     panes = panes.withColumn("_first", first).withColumn("_last", last)
     if slide > size:  # panes between two windows; left out else, as it would be pushed down to each row
         panes = panes.where("_first <= _last")
+    marks = panes.select(*spread, *keys, F.inline(edges))
+    if spread:
+        marks = marks.repartition(*spread, "_stretch")
+    over = Window.partitionBy(*spread, *keys, "_stretch").orderBy("_at")
     return (
-        panes.select(*keys, F.inline(edges))
         # ordered without a row frame: edges at one instant count together
-        .withColumn("count", F.sum("_delta").over(over))
+        marks.withColumn("count", F.sum("_delta").over(over))
         .withColumn("_next", F.lead("_at").over(over))
         .where("count > 0 AND _next > _at")
-        .select(
-            *keys,
-            F.explode(F.sequence("_at", F.col("_next") - F.lit(slide), F.lit(slide).cast("bigint")))
-            .alias("_start"),
-            "count",
-        )
+        .drop("_delta")
+    )
+
+
+def starts_of(slide: int) -> Column:
+    """The window starts of a segment, as an array."""
+    return F.sequence("_at", F.col("_next") - F.lit(slide), F.lit(slide).cast("bigint"))
+
+
+def windows_of(panes: DataFrame, size: int, slide: int, keys: Sequence[str]) -> DataFrame:
+    """Window counts of pane counts: ``keys``, ``_start`` (µs), ``count``."""
+    return segments_of(panes, size, slide, keys).select(
+        *keys, F.explode(starts_of(slide)).alias("_start"), "count"
     )
 
 

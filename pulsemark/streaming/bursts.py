@@ -57,13 +57,16 @@ class Bursts(StatefulProcessor):
         waiting = sorted(tuple(row) for row in self.pending.get())
         due = [cut for cut in cuts if _timer(cut) <= now]
         out: list[Row] = []
+        begin = 0
         for cut in due:
-            taken = [row for row in waiting if row[0] <= cut]
-            waiting = waiting[len(taken):]
-            if len(taken) > 1:
-                out.extend(self._rows(key[0], cut, taken))
+            end = begin
+            while end < len(waiting) and waiting[end][0] <= cut:
+                end += 1
+            if end - begin > 1:
+                out.extend(self._rows(key[0], cut, waiting[begin:end]))
+            begin = end
         later = cuts[len(due):]
-        self._replace(self.pending, waiting)
+        self._replace(self.pending, waiting[begin:])
         self._replace(self.cuts, [(cut,) for cut in later])
         if later:
             self._arm(later[0], now)

@@ -145,3 +145,27 @@ def test_sketches_are_close(spark):
     day = distinct.estimate_sketches(distinct.merge_sketches(states, "1 day")).first()["count"]
     one = distinct.approx_distinct_per_window(frame, "user_id", size="1 day", unit="ms").first()["count"]
     assert abs(day - 20_000) < 1_000 and abs(one - 20_000) < 1_500
+
+
+@pytest.mark.parametrize("buckets, n, keys", [(1, 1, 8), (1, 3, 8), (3, 2, 30), (1024, 3, 8)])
+def test_pruned_top_n_equals_plain(spark, buckets, n, keys):
+    rng = random.Random(buckets + n)
+    weights = [1 / (i + 1) for i in range(keys)]
+    rows = [(rng.choices(range(keys), weights)[0], BASE_MS + rng.randrange(0, 3_600_000)) for _ in range(3_000)]
+    frame = rows_of(spark, rows)
+    args = dict(ts="ts", size="10 minutes", slide="5 seconds", unit="ms")
+    ours = topn.top_n_sliding(frame, "item_id", n, buckets=buckets, **args)
+    plain = topn.top_n(sliding.sliding_counts(frame, keys=["item_id"], **args), "item_id", n)
+    assert ours.count() == plain.count() and ours.exceptAll(plain).count() == 0
+
+
+def test_pruning_leaves_out_the_long_tail(spark):
+    # 3 busy items and 200 that are seen once: the busy ones alone are written out
+    busy = [(i, BASE_MS + s * 1_000 + i) for s in range(3_600) for i in range(3)]
+    rows = rows_of(spark, busy + [(100 + i, BASE_MS + 1_800_000 + i) for i in range(200)])
+    size, slide = micros("10 minutes"), micros("5 seconds")
+    panes = sliding.pane_counts(rows, "ts", size, slide, ["item_id"], "ms")
+    block = topn._block_steps(size, slide) * slide
+    kept = topn._contenders(panes, "item_id", 3, size, slide, block, buckets=1)
+    assert kept.where("item_id >= 100").count() == 0
+    assert kept.count() == sliding.windows_of(panes.where("item_id < 100"), size, slide, ["item_id"]).count()
