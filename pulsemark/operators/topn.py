@@ -29,38 +29,51 @@ def top_n(counts: DataFrame, key: str, n: int) -> DataFrame:
 
 def top_n_sliding(rows: DataFrame, key: str, n: int, ts: str = "ts", size="1 hour", slide="5 seconds",
                   unit: str | None = None, buckets: int = 128) -> DataFrame:
-    """``top_n`` of sliding counts, leaving out what cannot rank before windows are written out.
+    """``top_n`` of sliding counts, ranked before the windows are written out.
 
     With 720 windows per hour the counts of all keys in all windows may outnumber
-    the input. Over a block of neighbouring windows a key's count has a floor
-    (zero unless it is present throughout) and a ceiling. If ``n`` keys have a
-    floor above a key's ceiling, that key ranks in none of the block's windows.
-    Keys are compared within ``buckets`` by hash, where they lie together
-    already, so the test needs no further shuffle; being against fewer keys it
-    only ever keeps more. The result is that of ``top_n``.
+    the input by far. Neighbouring windows are taken together as a block:
+
+    - Over a block a key's count has a floor (zero unless it is present
+      throughout) and a ceiling. If ``n`` keys have a floor that beats a key's
+      ceiling, that key ranks in none of the block's windows and is left out.
+      Keys are compared within ``buckets`` by hash, where they lie together
+      already, so this takes no shuffle; being held against fewer keys, it only
+      ever keeps more.
+    - Ranks change only where some count changes. They are taken once per run of
+      equal windows; the ranked rows alone are then written out window by window.
+
+    The result is that of ``top_n(sliding_counts(...))``.
     """
     size, slide = micros(size), micros(slide)
     panes = pane_counts(rows, ts, size, slide, [key], unit)
-    steps = _block_steps(size, slide)
-    if steps < 4:  # blocks as fine as the windows: nothing to gain
+    block = _block_steps(size, slide) * slide
+    if block < 4 * slide:  # blocks about as fine as the windows: nothing to gain
         windows = windows_of(panes, size, slide, [key])
-    else:
-        windows = _contenders(panes, key, n, size, slide, steps * slide, buckets)
-    return top_n(
-        windows.select(key, to_ms(F.col("_start") + F.lit(size)).alias("window_end"), "count"), key, n
+        return top_n(
+            windows.select(key, to_ms(F.col("_start") + F.lit(size)).alias("window_end"), "count"), key, n
+        )
+    runs = _runs(_contenders(panes, key, n, size, slide, block, buckets), key, slide, block)
+    order = Window.partitionBy("_block", "_at").orderBy(F.desc("count"), F.asc(key))
+    return (
+        runs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+        .select(F.explode(starts_of(slide)).alias("_start"), "rank", key, "count")
+        .select(to_ms(F.col("_start") + F.lit(size)).alias("window_end"), "rank", key, "count")
     )
 
 
 def _block_steps(size: int, slide: int) -> int:
-    """Slides per block: a divisor of the slides per window, about a twelfth of them."""
+    """Slides per block: a divisor of the slides per window, about a twelfth of them,
+    and few enough to be numbered by the bits of a bigint."""
     steps, rest = divmod(size, slide)
     if rest:
         return 1
-    return max(d for d in range(1, max(1, steps // 12) + 1) if steps % d == 0)
+    return max(d for d in range(1, max(1, min(steps // 12, 62)) + 1) if steps % d == 0)
 
 
 def _contenders(panes: DataFrame, key: str, n: int, size: int, slide: int, block: int,
                 buckets: int) -> DataFrame:
+    """Segments (cut at block borders) of the keys that may rank in their block."""
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
     segments = segments_of(panes.withColumn("_bucket", bucket), size, slide, [key], spread=["_bucket"])
     first, last = floor_to(F.col("_at"), block), floor_to(F.col("_next") - F.lit(slide), block)
@@ -77,15 +90,51 @@ def _contenders(panes: DataFrame, key: str, n: int, size: int, slide: int, block
     )
     floor = F.when(F.col("_covered") == F.lit(block), F.col("_least")).otherwise(F.lit(0))
     rivals = (
-        Window.partitionBy("_bucket", "_stretch", "_block").orderBy(F.desc("_floor"))
+        Window.partitionBy("_bucket", "_stretch", "_block").orderBy(F.desc("_floor"), F.asc(key))
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
+    # equal counts rank by key, nulls first
+    wins_tie = F.col(key).isNull() | F.coalesce(F.col(key) <= F.col("_bar_key"), F.lit(False))
+    may_rank = (
+        F.col("_bar").isNull() | (F.col("_ceiling") > F.col("_bar"))
+        | ((F.col("_ceiling") == F.col("_bar")) & wins_tie)
+    )
     return (
         per_block.withColumn("_floor", floor)
         .withColumn("_bar", F.nth_value("_floor", n).over(rivals))
-        .where("_bar IS NULL OR _ceiling >= _bar")
-        .select(key, F.inline("_pieces"))
-        .select(key, F.explode(starts_of(slide)).alias("_start"), "count")
+        .withColumn("_bar_key", F.nth_value(key, n).over(rivals))
+        .where(may_rank)
+        .select("_block", key, F.inline("_pieces"))
+    )
+
+
+def _runs(pieces: DataFrame, key: str, slide: int, block: int) -> DataFrame:
+    """Cut the pieces of a block wherever one of them begins or ends.
+
+    A block has fewer windows than a bigint has bits, so the borders of a block
+    are one number, bit i standing for its i-th window.
+    """
+    steps = block // slide
+
+    def place(at: str) -> Column:
+        return F.call_function("div", F.col(at) - F.col("_block"), F.lit(slide)).cast("int")
+
+    def bit(i: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
+
+    border = bit(F.col("_i")).bitwiseOR(F.when(F.col("_j") < steps, bit(F.col("_j"))).otherwise(F.lit(0)))
+    later = F.call_function("shiftrightunsigned", F.col("_borders"), F.col("_k") + F.lit(1))
+    # zeros below the lowest set bit
+    gap = F.bit_count(later.bitwiseAND(-later) - F.lit(1))
+    end = F.when(later == 0, F.lit(steps)).otherwise(F.col("_k") + F.lit(1) + gap)
+    return (
+        pieces.select("_block", key, "count", place("_at").alias("_i"), place("_next").alias("_j"))
+        .withColumn("_borders", F.bit_or(border).over(Window.partitionBy("_block")))
+        .select("_block", key, "count", "_borders",
+                F.explode(F.sequence(F.col("_i"), F.col("_j") - F.lit(1))).alias("_k"))
+        .where(F.getbit("_borders", F.col("_k")) == 1)
+        .select("_block", key, "count", (F.col("_block") + F.col("_k") * F.lit(slide)).alias("_at"),
+                (F.col("_block") + end * F.lit(slide)).alias("_next"))
     )
 
 

@@ -168,4 +168,14 @@ def test_pruning_leaves_out_the_long_tail(spark):
     block = topn._block_steps(size, slide) * slide
     kept = topn._contenders(panes, "item_id", 3, size, slide, block, buckets=1)
     assert kept.where("item_id >= 100").count() == 0
-    assert kept.count() == sliding.windows_of(panes.where("item_id < 100"), size, slide, ["item_id"]).count()
+    assert kept.select("item_id").distinct().count() == 3
+
+
+def test_pruned_top_n_with_ties_and_a_null_key(spark):
+    rows = [(k, BASE_MS + s * 1_000) for s in range(1_200) for k in (None, 1, 2, 3, 4, 5)]
+    frame = rows_of(spark, rows)
+    args = dict(ts="ts", size="10 minutes", slide="5 seconds", unit="ms")
+    plain = topn.top_n(sliding.sliding_counts(frame, keys=["item_id"], **args), "item_id", 2)
+    for buckets in (1, 4):
+        ours = topn.top_n_sliding(frame, "item_id", 2, buckets=buckets, **args)
+        assert ours.count() == plain.count() and ours.exceptAll(plain).count() == 0
