@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import itertools
+import os
 import random
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import BASE_MS, brute_bursts, brute_orders, logins, orders, random_logins
 from pulsemark.functions.event_time import event_time
@@ -30,7 +30,6 @@ class Feed:
         frame = self.spark.createDataFrame(rows, self.schema)
         target = self.path / "in" / f"{self.n:04}.json"
         target.write_text("\n".join(frame.toJSON().collect()) + "\n")
-        import os
         os.utime(target, (1_600_000_000 + self.n, 1_600_000_000 + self.n))
         self.n += 1
 
