@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import mixing, pii, toxicity
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,14 @@ def op9_toxicity(spark, folder):
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query("op3_pii")
+def op3_pii(spark, folder):
+    return pii.digest(table(spark, folder, "documents"))
+
+
+@query("op8_mixing")
+def op8_mixing(spark, folder):
+    taken = mixing.mix(table(spark, folder, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
