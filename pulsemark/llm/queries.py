@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, toxicity
+from . import minhash, mixing, pii, toxicity
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def op3_pii(spark, folder):
 def op8_mixing(spark, folder):
     taken = mixing.mix(table(spark, folder, "documents"))
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op6_minhash")
+def op6_minhash(spark, folder):
+    return minhash.near_duplicates(table(spark, folder, "documents"), k=3, percent=85)
