@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, pii, toxicity
+from . import contamination, minhash, mixing, pii, toxicity
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op8_mixing(spark, folder):
 @query("op6_minhash")
 def op6_minhash(spark, folder):
     return minhash.near_duplicates(table(spark, folder, "documents"), k=3, percent=85)
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark, folder):
+    return contamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
