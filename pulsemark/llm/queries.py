@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, minhash, mixing, pii, toxicity
+from . import contamination, language, minhash, mixing, pii, toxicity
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,11 @@ def op6_minhash(spark, folder):
 @query("op7_decontamination")
 def op7_decontamination(spark, folder):
     return contamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op10_language")
+def op10_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(fold("doc_id", 4) != 2))
+    made = language.predict(docs.select("doc_id", "text"), model)
+    return made.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
