@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, language, minhash, mixing, pii, toxicity
+from . import contamination, language, lm, minhash, mixing, pii, toxicity
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,11 @@ def op10_language(spark, folder):
     model = language.fit(docs.where(fold("doc_id", 4) != 2))
     made = language.predict(docs.select("doc_id", "text"), model)
     return made.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_lm")
+def op2_lm(spark, folder):
+    docs = table(spark, folder, "documents")
+    made, model = lm.fit_and_score(docs.where(fold("doc_id", 7) != 2), docs)
+    return made.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known",
+                       F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
