@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, language, lm, minhash, mixing, pii, toxicity
+from . import contamination, language, lm, minhash, mixing, pii, quality, toxicity
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,12 @@ def op2_lm(spark, folder):
     made, model = lm.fit_and_score(docs.where(fold("doc_id", 7) != 2), docs)
     return made.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known",
                        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query("op1_quality")
+def op1_quality(spark, folder):
+    """Hosts are the documents' sources, paths their language sections."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit(docs, labels)
+    made = quality.posteriors(docs, labels, model, F.col("source"), F.col("lang"))
+    return made.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
