@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, language, lm, minhash, mixing, pii, quality, toxicity
+from . import caps, contamination, language, lm, minhash, mixing, pii, quality, toxicity
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op1_quality(spark, folder):
     model = quality.fit(docs, labels)
     made = quality.posteriors(docs, labels, model, F.col("source"), F.col("lang"))
     return made.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+@query("op5_caps")
+def op5_caps(spark, folder):
+    return caps.near_duplicates(table(spark, folder, "embeddings"))
