@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, contamination, language, lm, minhash, mixing, pii, quality, toxicity
+from . import caps, contamination, language, lm, minhash, mixing, pii, quality, suffixes, toxicity
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op1_quality(spark, folder):
 @query("op5_caps")
 def op5_caps(spark, folder):
     return caps.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op4_suffixes")
+def op4_suffixes(spark, folder):
+    return suffixes.trim(table(spark, folder, "documents"))
