@@ -9,15 +9,17 @@ stay; the stages' operators say what they do with other odd rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsemark.llm import contamination, minhash, mixing, pii, toxicity
-from pulsemark.llm.columns import stored, table
+from pulsemark.llm.columns import fresh, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more by the classifier go."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, to="_toxic").where("_toxic < 0.5").drop("_toxic")
+    to = fresh(docs, "_toxic")
+    return toxicity.score(docs, model, to=to).where(F.col(to) < 0.5).drop(to)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

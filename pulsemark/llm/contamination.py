@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .columns import stored
+from .columns import fresh, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -203,5 +203,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without those that hold a benchmark item. A row without an id cannot be named and stays."""
-    found = contaminated(docs, benchmark, key, text).select(F.col(key).alias("_id")).distinct()
-    return docs.join(found, docs[key] == found["_id"], "left_anti")
+    own = fresh(docs, "_id")
+    found = contaminated(docs, benchmark, key, text).select(F.col(key).alias(own)).distinct()
+    return docs.join(found, docs[key] == found[own], "left_anti")

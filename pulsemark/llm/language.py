@@ -13,7 +13,7 @@ them are Spark tasks that return the gradient of their part, and the driver hold
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; rows without a language teach nothing;
 without any, every text is ``und``. Equal marginals go to the first language by name. Ids may be null or repeated and
-other columns pass through ``predict``.
+other columns pass through ``predict``, where those of the results' names are replaced.
 """
 
 from __future__ import annotations
@@ -232,6 +232,7 @@ def label_rows(part: tx.Slice, model: Model) -> tuple[np.ndarray, np.ndarray]:
 
 def predict(docs: DataFrame, model: Model, text: str = "text", to: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the favoured language and its mean marginal."""
+    docs = docs.drop(to, score)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predicted(batches):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .columns import stored
+from .columns import fresh, stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # of all tokens
@@ -192,11 +192,13 @@ def mixed(docs: DataFrame, key: str = "doc_id", **parameters) -> DataFrame:
 
     Rows of one id and text share what they are given together.
     """
-    taken = mix(docs, key, **parameters).groupBy(F.col(key).alias("_id"), "_hash").agg(
-        F.sum("copies").alias("_copies"), F.count("*").alias("_alike")).where("_copies > 0")
-    keyed = docs.withColumn("_row", row_hash(key, parameters.get("text", "text")))
-    same = (F.col("_row") == F.col("_hash")) & F.col(key).eqNullSafe(F.col("_id"))
-    nth = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
-    each = F.floor(F.col("_copies") / F.col("_alike")) + (F.col("_nth") <= F.col("_copies") % F.col("_alike")).cast("long")
-    return (keyed.join(taken, same).withColumn("_nth", nth).withColumn("_each", each).where("_each > 0")
-            .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_each"))).alias("_copy")).drop("_copy"))
+    row, nth, copy = (fresh(docs, c) for c in ("_row", "_nth", "_copy"))
+    names = {c: fresh(docs, c) for c in ("_id", "_hash", "_copies", "_alike")}
+    taken = mix(docs, key, **parameters).groupBy(F.col(key).alias(names["_id"]), F.col("_hash").alias(names["_hash"])).agg(
+        F.sum("copies").alias(names["_copies"]), F.count("*").alias(names["_alike"])).where(F.col(names["_copies"]) > 0)
+    keyed = docs.withColumn(row, row_hash(key, parameters.get("text", "text")))
+    same = (F.col(row) == F.col(names["_hash"])) & F.col(key).eqNullSafe(F.col(names["_id"]))
+    copies, alike = F.col(names["_copies"]), F.col(names["_alike"])
+    each = F.floor(copies / alike) + (F.col(nth) <= copies % alike).cast("long")
+    return (keyed.join(taken, same).withColumn(nth, F.row_number().over(Window.partitionBy(row).orderBy(row)))
+            .where(each > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), each)).alias(copy)).drop(copy))

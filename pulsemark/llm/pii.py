@@ -6,7 +6,7 @@ kept when their score reaches ``THRESHOLD``; an ssn needs a word of its context
 the whole text where it lies, in time proportional to its length, without a shuffle.
 
 Defined results: a null or empty text has no spans and is returned as it is; offsets count code points, ends are
-exclusive; ids may be null or repeated; other columns pass through.
+exclusive; ids may be null or repeated; other columns pass through, and one of the name of the result is replaced.
 """
 
 from __future__ import annotations
@@ -151,7 +151,7 @@ _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 def spans(docs: DataFrame, text: str = "text", to: str = "spans", keep_text: bool = True) -> DataFrame:
     """``docs`` with an array of spans (kind, start, end, score), and without the text if it is not kept."""
-    fields = [f for f in docs.schema.fields if keep_text or f.name != text]
+    fields = [f for f in docs.schema.fields if (keep_text or f.name != text) and f.name != to]
 
     def found(batches):
         for rows in (part.rows for part in tx.slices(batches, text)):

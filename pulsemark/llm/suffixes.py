@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .blocks import groups
-from .columns import stored
+from .columns import fresh, stored
 
 SPAN = 200
 SEED = 64
@@ -329,16 +329,16 @@ def trim(docs: DataFrame, key: str = "doc_id", text: str = "text", batches: int
 def trimmed(docs: DataFrame, key: str = "doc_id", text: str = "text", batches: int = BATCHES) -> DataFrame:
     """``docs`` without the repeated bytes of their texts."""
     _, stretches = repeated(docs, key, text, batches)
-    names = docs.columns
+    names, row, cuts = docs.columns, fresh(docs, "_row"), fresh(docs, "_spans")
 
     def cut(batches):
         for part in tx.slices(batches, text):
             made = [raw if raw is None or not spans else
                     _keep(raw.encode(), _union([s["start"] for s in spans], [s["end"] for s in spans])).decode("utf-8", "ignore")
-                    for raw, spans in zip(part.rows.column(text).to_pylist(), part.rows.column("_spans").to_pylist(), strict=True)]
+                    for raw, spans in zip(part.rows.column(text).to_pylist(), part.rows.column(cuts).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(made, part.rows.column(text).type) if n == text else part.rows.column(n)
                                               for n in names], names)
 
-    keyed = docs.withColumn("_row", row_id(key, text)).join(
-        _spans(stretches).select(F.col("row").alias("_row"), F.col("spans").alias("_spans")), "_row", "left")
-    return keyed.drop("_row").mapInArrow(cut, docs.schema)
+    keyed = docs.withColumn(row, row_id(key, text)).join(
+        _spans(stretches).select(F.col("row").alias(row), F.col("spans").alias(cuts)), row, "left")
+    return keyed.drop(row).mapInArrow(cut, docs.schema)

@@ -8,7 +8,8 @@ one row per bucket at most. Scoring goes over every row where it lies, without a
 
 Defined results: a null or empty text has no feature and gets the intercept's score; ids are returned as they are, null
 and repeated ones too; a row repeated with two labels counts as its larger one; without rows of both labels every score
-is the share of the label seen, or 0. Other columns of the input pass through ``score`` untouched.
+is the share of the label seen, or 0. Other columns of the input pass through ``score`` untouched; one of
+the name of the result is replaced.
 """
 
 from __future__ import annotations
@@ -143,6 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
 def score(docs: DataFrame, model: Model, text: str = "text", to: str = "score") -> DataFrame:
     """``docs`` with a column ``to``: how likely label 1 is, from 0 to 1."""
+    docs = docs.drop(to)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
