@@ -88,8 +88,8 @@ URLS_SQL = _sliding(GETS, MINUTE, 5_000, "url")
 
 
 @query("parse_behavior_csv", f"""SELECT user_id, {K} AS item_id, CAST({K} % 20 AS INTEGER) AS category_id,
- CASE event_type WHEN 'view' THEN 'pv' WHEN 'purchase' THEN 'buy' WHEN 'click' THEN 'cart' ELSE 'fav' END
- AS behavior, (epoch_us(ts) // 1000) AS timestamp FROM events WHERE event_type <> 'error'""")
+ CASE event_type WHEN 'view' THEN 'pv' WHEN 'purchase' THEN 'buy' WHEN 'click' THEN 'cart' WHEN 'signup' THEN 'fav'
+ ELSE event_type END AS behavior, (epoch_us(ts) // 1000) AS timestamp FROM events""")
 def parse_behavior_csv(spark, folder):
     return parse.behavior_rows(source.behavior_lines(source.table(spark, folder)))
 
@@ -235,11 +235,28 @@ def uv_bitmap_daily(spark, folder):
     return distinct.count_bitmaps(distinct.merge_bitmaps(hourly, "1 day"))
 
 
-@query("uv_hll")
+DAILY_SQL = f"""SELECT {_tumble(24 * HOUR)} AS window_end, count(DISTINCT user_id) AS exact, true AS close
+ FROM {VIEWS} GROUP BY ALL"""
+
+
+def _against_exact(spark, folder, estimate, error):
+    """The exact daily counts, and whether the estimates lie within five standard errors of them."""
+    exact = distinct.distinct_per_window(_views(spark, folder), "user_id", size="1 day").withColumnRenamed("count", "exact")
+    near = F.abs(F.col("count") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * (5 * error))
+    return exact.join(estimate, "window_end", "left").select("window_end", "exact", F.coalesce(near, F.lit(False)).alias("close"))
+
+
+@query("uv_hll", DAILY_SQL)
 def uv_hll(spark, folder):
-    """Daily estimate from hourly sketches; an estimate has no exact SQL."""
+    """Daily estimates from hourly sketches of 2^12 registers, held against the exact counts."""
     hourly = distinct.sketches(_views(spark, folder), "user_id")
-    return distinct.estimate_sketches(distinct.merge_sketches(hourly, "1 day"))
+    return _against_exact(spark, folder, distinct.estimate_sketches(distinct.merge_sketches(hourly, "1 day")), 1.04 / 2 ** 6)
+
+
+@query("uv_approx", DAILY_SQL)
+def uv_approx(spark, folder):
+    """One-pass daily estimates, held against the exact counts."""
+    return _against_exact(spark, folder, distinct.approx_distinct_per_window(_views(spark, folder), "user_id", size="1 day"), 0.02)
 
 
 @query("uv_running", f"""SELECT window_end, event_id, user_id, CAST(sum(CASE WHEN nth = 1 THEN 1 ELSE 0 END) OVER (
@@ -274,6 +291,15 @@ def login_fail_cep(spark, folder):
     return patterns.fail_sequences(source.login_events(source.table(spark, folder)), within="12 hours")
 
 
+@query("login_fail_consecutive", f"""SELECT user_id, id AS start_id, event_id, ip, 'fail' AS event_type FROM (
+ SELECT * EXCLUDE (ip), lead(id) OVER w AS event_id, lead(ip) OVER w AS ip, lead(kind) OVER w AS k2, lead(kind, 2) OVER w AS k3,
+ lead(us, 2) OVER w AS last_us FROM (SELECT user_id, id, us, kind, ip FROM {LOGINS}) WINDOW w AS (PARTITION BY user_id ORDER BY us, id))
+ WHERE kind = 'fail' AND k2 = 'fail' AND k3 = 'fail' AND last_us < us + {H12}""")
+def login_fail_consecutive(spark, folder):
+    """Three failed logins with nothing in between."""
+    return patterns.fail_sequences(source.login_events(source.table(spark, folder)), within="12 hours", consecutive=True)
+
+
 @query("login_fail_pair", f"""SELECT user_id, id AS first_id, ip AS first_ip, second_id, second_ip FROM (
  SELECT *, lead(id) OVER w AS second_id, lead(ip) OVER w AS second_ip, lead(kind) OVER w AS next_kind,
  lead(us) OVER w AS next_us FROM {LOGINS} WINDOW w AS (PARTITION BY user_id ORDER BY us, id))
@@ -397,16 +423,68 @@ def kv_fields(spark, folder):
     return enrich.kv_fields(rows, "attrs", r"\|", ["type", "k", "note"], {"k": "0"})
 
 
-@query("text_helpers", """SELECT event_id, event_type IS NULL OR event_type = '' AS empty,
- NOT (event_type IS NULL OR event_type = '') AS filled, event_type AS trimmed,
+TEXT_CASES = """(SELECT event_id, user_id, CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ',' || event_type
+ WHEN 3 THEN event_type || ',' WHEN 4 THEN ',' || event_type || ',' ELSE event_type END AS word FROM events)"""
+
+
+@query("text_helpers", f"""SELECT event_id, word IS NULL OR word = '' AS empty, NOT (word IS NULL OR word = '') AS filled,
+ regexp_replace(regexp_replace(word, '^,', ''), ',$', '') AS trimmed,
  CASE WHEN length(CAST(user_id AS VARCHAR)) = 2 THEN CAST(user_id AS VARCHAR)
- ELSE '0' || CAST(user_id AS VARCHAR) END AS padded FROM events""")
+ ELSE '0' || CAST(user_id AS VARCHAR) END AS padded FROM {TEXT_CASES}""")
 def text_helpers(spark, folder):
+    """On missing and empty words, and on words with a comma at either end or both."""
     from .functions import text
 
-    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    kind, case, user = F.col("event_type"), F.col("event_id") % 6, F.col("user_id").cast("string")
+    comma = F.lit(",")
+    word = (F.when(case == 1, F.lit("")).when(case == 2, F.concat(comma, kind)).when(case == 3, F.concat(kind, comma))
+            .when(case == 4, F.concat(comma, kind, comma)).when(case == 5, kind))
     return source.table(spark, folder).select(
-        "event_id", text.is_empty(kind).alias("empty"), text.is_not_empty(kind).alias("filled"),
-        text.trim_comma(F.concat(F.lit(","), kind, F.lit(","))).alias("trimmed"),
-        text.pad_two(user).alias("padded"),
+        "event_id", text.is_empty(word).alias("empty"), text.is_not_empty(word).alias("filled"),
+        text.trim_comma(word).alias("trimmed"), text.pad_two(user).alias("padded"),
     )
+
+
+@query("date_texts", """SELECT event_id, strftime(ts, '%d/%m/%Y') AS today, strftime(ts, '%Y-%m-%d') AS day FROM events""")
+def date_texts(spark, folder):
+    """The day of each event as text, and read back from its date key."""
+    from .functions import calendar
+
+    return source.table(spark, folder).select(
+        "event_id", calendar.today_text(F.col("ts")).alias("today"),
+        calendar.parse_date_key(calendar.date_key(F.col("ts"))).cast("string").alias("day"))
+
+
+def _some_broken(spark, folder):
+    """Behaviour lines of which two in five are malformed: a user that is no number, or a field too few."""
+    rest = F.array_join(F.slice(F.split("value", ","), 2, 4), ",")
+    case = F.col("event_id") % 5
+    lines = source.behavior_lines(source.table(spark, folder), keep=["event_id"])
+    return lines.select(F.when(case == 0, F.concat(F.lit("x,"), rest)).when(case == 1, rest).otherwise(F.col("value")).alias("value"))
+
+
+LINE = f"""CAST({K} AS VARCHAR) || ',' || CAST({K} % 20 AS VARCHAR) || ',' || CASE event_type WHEN 'view' THEN 'pv'
+ WHEN 'purchase' THEN 'buy' WHEN 'click' THEN 'cart' WHEN 'signup' THEN 'fav' ELSE event_type END || ',' ||
+ CAST(epoch_us(ts) // 1000 AS VARCHAR)"""
+
+
+@query("quarantine_good", SQL["parse_behavior_csv"] + " WHERE event_id % 5 NOT IN (0, 1)")
+def quarantine_good(spark, folder):
+    return parse.split_bad(parse.behavior_rows(_some_broken(spark, folder), quarantine=True))[0]
+
+
+@query("quarantine_bad", f"""SELECT CASE event_id % 5 WHEN 0 THEN 'x,' ELSE '' END || {LINE} AS raw
+ FROM events WHERE event_id % 5 IN (0, 1)""")
+def quarantine_bad(spark, folder):
+    return parse.split_bad(parse.behavior_rows(_some_broken(spark, folder), quarantine=True))[1]
+
+
+@query("csv_file_source", SQL["parse_behavior_csv"])
+def csv_file_source(spark, folder):
+    """Behaviour rows landed as CSV files and read back as a CSV file source."""
+    from .session import scratch_dir
+    from .sources.readers import read_behavior_csv
+
+    path = scratch_dir(spark, "behavior-csv")
+    parse.behavior_rows(source.behavior_lines(source.table(spark, folder))).write.csv(path)
+    return read_behavior_csv(spark, path)

@@ -202,10 +202,11 @@ def fail_burst_members(logins: DataFrame, within="2 seconds", ts: str = "event_t
         _with_burst(moments, reach, stretch, ["_n"])
         .withColumn("size", F.sum("_n").over(in_burst))
         .where("size > 1")
-        .select("user_id", "_us", F.col("burst_us").alias("burst_id"), "size")
+        .select(F.col("user_id").alias("_user"), F.col("_us").alias("_at"), F.col("burst_us").alias("burst_id"), "size")
     )
+    same = F.col("user_id").eqNullSafe(F.col("_user")) & (F.col("_us") == F.col("_at"))  # failed logins without a user, too
     return (
-        rows.where(failed).join(placed, ["user_id", "_us"])
+        rows.where(failed).join(placed, same)
         .select("user_id", "burst_id", "size", F.col("_id").alias("event_id"), "ip", "event_type",
                 F.col(ts).alias("event_time"))
     )

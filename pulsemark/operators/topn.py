@@ -28,8 +28,14 @@ def top_n(counts: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def top_n_sliding(rows: DataFrame, key: str, n: int, ts: str = "ts", size="1 hour", slide="5 seconds",
-                  unit: str | None = None, buckets: int = 128) -> DataFrame:
-    """``top_n`` of sliding counts, ranked before the windows are written out.
+                  unit: str | None = None, buckets: int | None = None) -> DataFrame:
+    """``top_n`` of sliding counts, ranked before the windows are written out."""
+    panes = pane_counts(rows, ts, micros(size), micros(slide), [key], unit)
+    return top_n_panes(panes, key, n, size, slide, buckets)
+
+
+def top_n_panes(panes: DataFrame, key: str, n: int, size="1 hour", slide="5 seconds", buckets: int | None = None) -> DataFrame:
+    """``top_n`` of the sliding counts of pane counts (key, ``_pane``, ``_n``).
 
     With 720 windows per hour the counts of all keys in all windows may outnumber
     the input by far. Neighbouring windows are taken together as a block:
@@ -41,27 +47,37 @@ def top_n_sliding(rows: DataFrame, key: str, n: int, ts: str = "ts", size="1 hou
       already, so this takes no shuffle; being held against fewer keys, it only
       ever keeps more.
     - Ranks change only where some count changes. They are taken once per run of
-      equal windows; the ranked rows alone are then written out window by window.
+      equal windows, first within the buckets, still without a shuffle, then
+      among the ``n`` best of each: whatever the number of keys, a block's last
+      task gets ``n`` rows per bucket and run. The ranked rows alone are then
+      written out window by window.
 
-    The result is that of ``top_n(sliding_counts(...))``.
+    Buckets are four per shuffle partition unless given. The result is that of
+    ``top_n(sliding_counts(...))``.
     """
     size, slide = micros(size), micros(slide)
-    panes = pane_counts(rows, ts, size, slide, [key], unit)
+    if buckets is None:
+        buckets = 4 * int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     block = _block_steps(size, slide) * slide
     if block < 4 * slide:  # blocks about as fine as the windows: nothing to gain
         windows = windows_of(panes, size, slide, [key])
         return top_n(
             windows.select(key, to_ms(F.col("_start") + F.lit(size)).alias("window_end"), "count"), key, n
         )
-    runs = _runs(_contenders(panes, key, n, size, slide, block, buckets), key, slide, block)
-    order = Window.partitionBy("_block", "_at").orderBy(F.desc("count"), F.asc(key))
+    contenders = _contenders(panes, key, n, size, slide, block, buckets)
+    within = _ranked(_runs(contenders, key, slide, block, ["_bucket", "_stretch", "_block"]), key, n, ["_bucket", "_stretch"])
+    best = _ranked(_runs(within.drop("rank", "_bucket", "_stretch"), key, slide, block, ["_block"]), key, n, [])
     return (
-        runs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
-        .select(F.explode(starts_of(slide)).alias("_start"), "rank", key, "count")
+        best.select(F.explode(starts_of(slide)).alias("_start"), "rank", key, "count")
         .select(to_ms(F.col("_start") + F.lit(size)).alias("window_end"), "rank", key, "count")
     )
 
 
+def _ranked(runs: DataFrame, key: str, n: int, within: list[str]) -> DataFrame:
+    order = Window.partitionBy(*within, "_block", "_at").orderBy(F.desc("count"), F.asc(key))
+    return runs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+
 def _block_steps(size: int, slide: int) -> int:
     """Slides per block: a divisor of the slides per window, about a twelfth of them,
     and few enough to be numbered by the bits of a bigint."""
@@ -104,12 +120,12 @@ def _contenders(panes: DataFrame, key: str, n: int, size: int, slide: int, block
         .withColumn("_bar", F.nth_value("_floor", n).over(rivals))
         .withColumn("_bar_key", F.nth_value(key, n).over(rivals))
         .where(may_rank)
-        .select("_block", key, F.inline("_pieces"))
+        .select("_bucket", "_stretch", "_block", key, F.inline("_pieces"))
     )
 
 
-def _runs(pieces: DataFrame, key: str, slide: int, block: int) -> DataFrame:
-    """Cut the pieces of a block wherever one of them begins or ends.
+def _runs(pieces: DataFrame, key: str, slide: int, block: int, within: list[str]) -> DataFrame:
+    """Cut the pieces of a block (or of its part ``within`` which they lie) wherever one of them begins or ends.
 
     A block has fewer windows than a bigint has bits, so the borders of a block
     are one number, bit i standing for its i-th window.
@@ -128,18 +144,18 @@ def _runs(pieces: DataFrame, key: str, slide: int, block: int) -> DataFrame:
     gap = F.bit_count(later.bitwiseAND(-later) - F.lit(1))
     end = F.when(later == 0, F.lit(steps)).otherwise(F.col("_k") + F.lit(1) + gap)
     return (
-        pieces.select("_block", key, "count", place("_at").alias("_i"), place("_next").alias("_j"))
-        .withColumn("_borders", F.bit_or(border).over(Window.partitionBy("_block")))
-        .select("_block", key, "count", "_borders",
+        pieces.select(*within, key, "count", place("_at").alias("_i"), place("_next").alias("_j"))
+        .withColumn("_borders", F.bit_or(border).over(Window.partitionBy(*within)))
+        .select(*within, key, "count", "_borders",
                 F.explode(F.sequence(F.col("_i"), F.col("_j") - F.lit(1))).alias("_k"))
         .where(F.getbit("_borders", F.col("_k")) == 1)
-        .select("_block", key, "count", (F.col("_block") + F.col("_k") * F.lit(slide)).alias("_at"),
+        .select(*within, key, "count", (F.col("_block") + F.col("_k") * F.lit(slide)).alias("_at"),
                 (F.col("_block") + end * F.lit(slide)).alias("_next"))
     )
 
 
 def _report(ranked: DataFrame, key: str, key_label: str, count_label: str, rule: str) -> DataFrame:
-    # at most n rows per window, and already partitioned by window: no new shuffle
+    # at most n rows per window
     rows = F.sort_array(F.collect_list(F.struct("rank", key, "count")))
 
     def line(row: Column) -> Column:
