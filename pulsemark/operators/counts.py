@@ -91,6 +91,14 @@ def _labelled(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"channel": F.lit("total"), "behavior": F.lit("total")})
 
 
+def market_windows(panes: DataFrame, keys: list[str], size="1 hour", slide="5 seconds") -> DataFrame:
+    """The same from pane counts per channel and behaviour, as a stream keeps them; without ``keys`` the totals."""
+    size, slide = micros(size), micros(slide)
+    if not keys:
+        return _market(_labelled(windows_of(roll_up(panes, []), size, slide, [])), size)
+    return _market(windows_of(panes, size, slide, keys), size)
+
+
 def market_both(rows: DataFrame, ts: str = "ts", size="1 hour", slide="5 seconds",
                 unit: str | None = None) -> DataFrame:
     """Per-channel counts and totals together, as ``GROUPING SETS`` would give them.

@@ -43,11 +43,9 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFram
     return (spark.readStream if stream else spark.read).text(path)
 
 
-def stream_table(spark: SparkSession, folder: str, name: str, schema: StructType,
-                 files_per_trigger: int | None = None) -> DataFrame:
-    """A Parquet table, one file or a folder of files, as a stream."""
+def stream_files(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:
+    """A folder of Parquet files as a stream, the oldest files first."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    # as a glob, since the file source takes a plain path for a folder
-    return reader.parquet(f"{folder}/{name}.parque[t]")
+    return reader.parquet(path)

@@ -1,28 +1,60 @@
 """Streaming queries by name: the ``events`` table read as a stream to its end.
 
-A bounded stream leaves the last windows open, as no later record moves the
-watermark past them. The SQL states the same limit.
+The table is staged as files in the order of arrival, one file per micro-batch. Records arrive up to nine minutes after
+their time, so every batch but the first brings some that are older than what came before, and counts are corrected. The
+last file ends the stream: one record of each event type, made by an aggregate of the table, lies so far past all others
+that the watermark passes them all and every window, order and burst comes out. What these closing records would yield
+themselves stays open and never appears. The SQL is therefore that of the whole table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .catalog import (H6, HOUR, LOGINS, MINUTE, ORDERS, SQL, URLS_SQL, VIEWS, _sliding, _top, _tumble,
-                      query)
-from .functions.event_time import event_time
-from .operators import parse, topn
+from .catalog import (BY_CHANNEL_SQL, H6, HOUR, LOGINS, ORDER_SQL, SQL, TOTAL_SQL, URLS_SQL, VIEWS, ITEMS_SQL, _top, _tumble, query)
+from .functions.event_time import epoch_us, event_time, micros
+from .operators import counts, parse, topn
 from .session import scratch_dir, session_conf
 from .sources import events as source
-from .sources.readers import read_lines, stream_table
+from .sources.readers import read_lines, stream_files
 from .streaming import bursts, jobs, sinks
 
-DELAY_MS = 10 * MINUTE
 DELAY = "10 minutes"
+BATCHES = 3
+CLOSING = "3650 days"
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def _staged(spark: SparkSession, folder: str) -> str:
+    """The folder of the table's files in order of arrival; written once per session and table."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STAGED:
+        path = scratch_dir(spark, "arrivals")
+        table = source.table(spark, folder)
+        held_up = F.pmod(F.col("event_id") * 37, F.lit(41)) * F.lit(micros("9 minutes") // 41)
+        rows = table.withColumn("_arrival", epoch_us(table, "ts") + held_up)
+        cuts = rows.select(F.percentile_approx("_arrival", [i / BATCHES for i in range(1, BATCHES)])).first()[0] or []
+        bounds = [None, *cuts, None]
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            own = rows
+            if low is not None:
+                own = own.where(F.col("_arrival") > low)
+            if high is not None:
+                own = own.where(F.col("_arrival") <= high)
+            # one file per batch, as the file source counts files
+            own.drop("_arrival").coalesce(1).write.mode("append").parquet(path)
+        last = table.agg(F.max("ts").alias("last"))
+        closing = table.groupBy("event_type").agg(F.min("props").alias("props")).crossJoin(F.broadcast(last)).select(
+            F.lit(-1).cast("bigint").alias("event_id"), (F.col("last") + F.expr(f"INTERVAL {CLOSING}")).alias("ts"),
+            F.lit(-1).cast("bigint").alias("user_id"), "event_type", F.lit(0.0).alias("value"), "props")
+        closing.select(table.columns).coalesce(1).write.mode("append").parquet(path)
+        _STAGED[key] = path
+    return _STAGED[key]
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return stream_table(spark, folder, "events", source.table(spark, folder).schema)
+    return stream_files(spark, _staged(spark, folder), source.table(spark, folder).schema, files_per_trigger=1)
 
 
 def _views(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,46 +63,66 @@ def _views(spark: SparkSession, folder: str) -> DataFrame:
 
 def _write(spark: SparkSession, stream: DataFrame, name: str, mode: str, shape=lambda df: df) -> str:
     path = scratch_dir(spark, name)
-    writer = stream.writeStream.outputMode(mode).foreachBatch(sinks.batch_folders(f"{path}/out", shape))
-    sinks.run_available(writer, f"{path}/checkpoint")
+    with session_conf(spark, jobs.STATE_SETTINGS):
+        writer = stream.writeStream.outputMode(mode).foreachBatch(sinks.batch_folders(f"{path}/out", shape))
+        sinks.run_available(writer, f"{path}/checkpoint")
     return f"{path}/out"
 
 
-def _passed(rows: str, delay_ms: int = DELAY_MS) -> str:
-    """The watermark in ms at the end of ``rows``."""
-    return f"(SELECT max(epoch_us(ts)) // 1000 - {delay_ms} FROM {rows})"
+def _own(rows: DataFrame, time: str, folder: str) -> DataFrame:
+    """Without what belongs to the closing records; ``time`` is in µs."""
+    table = source.table(rows.sparkSession, folder)
+    last = table.agg(F.max(epoch_us(table, "ts"))).first()[0] or 0
+    return rows.where(F.col(time) < last + micros(CLOSING) // 2)
 
 
-@query("stream_hot_items", _top(
-    f"SELECT * FROM ({_sliding(VIEWS, HOUR, 5 * MINUTE, 'item_id')}) WHERE window_end <= {_passed(VIEWS)}",
-    "item_id", 3))
+@query("stream_hot_items", _top(ITEMS_SQL, "item_id", 3))
 def stream_hot_items(spark, folder):
-    """All rows of a window arrive in one batch, so ranking per batch is complete."""
-    stream = jobs.final_counts(_views(spark, folder), ["item_id"], slide="5 minutes", delay=DELAY)
-    path = _write(spark, stream, "hot-items", "append", lambda df: topn.top_n(df, "item_id", 3))
-    return sinks.read_batches(spark, path).drop("batch_id")
+    """Each pane's count comes out once, when it is final; the reader ranks the windows of the panes as in batch."""
+    panes = jobs.final_panes(_views(spark, folder), ["item_id"], slide="5 minutes", delay=DELAY)
+    rows = sinks.read_batches(spark, _write(spark, panes, "hot-items", "append"))
+    return topn.top_n_panes(rows.drop("batch_id"), "item_id", 3, slide="5 minutes")
 
 
 @query("stream_hot_urls", _top(URLS_SQL, "url", 5))
 def stream_hot_urls(spark, folder):
-    """Counts are corrected as late records come; the ranking reads the newest ones."""
+    """Pane counts are corrected as late records come; the ranking reads the newest ones."""
     lines = source.access_lines(_events(spark, folder).where("event_type = 'view'"))
     requests = event_time(parse.get_requests(parse.access_rows(lines)), "event_time", "ms")
-    path = _write(spark, jobs.updating_counts(requests, ["url"]), "hot-urls", "update")
-    counts = sinks.latest(sinks.read_batches(spark, path), ["url", "window_end"])
-    return topn.top_n(counts, "url", 5)
+    path = _write(spark, jobs.updating_panes(requests, ["url"], delay=DELAY), "hot-urls", "update")
+    panes = _own(sinks.latest(sinks.read_batches(spark, path), ["url", "_pane"]), "_pane", folder)
+    return topn.top_n_panes(panes, "url", 5, "1 minute")
+
+
+def _market_panes(spark: SparkSession, folder: str) -> DataFrame:
+    rows = event_time(source.market_behavior(_events(spark, folder), installed=True), "ts")
+    panes = jobs.final_panes(rows, ["channel", "behavior"], slide="5 minutes", delay=DELAY)
+    return sinks.read_batches(spark, _write(spark, panes, "market", "append")).drop("batch_id")
+
+
+@query("stream_market_by_channel", BY_CHANNEL_SQL)
+def stream_market_by_channel(spark, folder):
+    return counts.market_windows(_market_panes(spark, folder), ["channel", "behavior"], slide="5 minutes")
+
+
+@query("stream_market_total", TOTAL_SQL)
+def stream_market_total(spark, folder):
+    return counts.market_windows(_market_panes(spark, folder), [], slide="5 minutes")
 
 
 @query("stream_uv_running", f"""SELECT {_tumble(HOUR)} AS window_end, count(DISTINCT user_id) AS count
  FROM {VIEWS} GROUP BY ALL""")
 def stream_uv_running(spark, folder):
+    """Every batch writes the new distinct users of each window; their sum so far is the running count, at the end the
+    window's."""
     stream = jobs.first_seen(_views(spark, folder), "user_id", delay=DELAY)
-    path = _write(spark, stream, "uv-running", "append")
-    return sinks.read_batches(spark, path).groupBy("window_end").count()
+    path = _write(spark, stream, "uv-running", "append", lambda df: df.groupBy("window_end").agg(F.count("*").alias("new")))
+    rows = _own(sinks.read_batches(spark, path).withColumn("_us", F.col("window_end") * 1000), "_us", folder)
+    return sinks.running_totals(rows, ["window_end"], "new").groupBy("window_end").agg(F.max("count").alias("count"))
 
 
-@query("stream_uv_final", f"""SELECT * FROM (SELECT {_tumble(HOUR)} AS window_end,
- count(DISTINCT user_id) AS count FROM {VIEWS} GROUP BY ALL) WHERE window_end <= {_passed(VIEWS)}""")
+@query("stream_uv_final", f"""SELECT {_tumble(HOUR)} AS window_end, count(DISTINCT user_id) AS count
+ FROM {VIEWS} GROUP BY ALL""")
 def stream_uv_final(spark, folder):
     stream = jobs.distinct_final(_views(spark, folder), "user_id", delay=DELAY)
     return sinks.read_batches(spark, _write(spark, stream, "uv-final", "append")).drop("batch_id")
@@ -81,15 +133,8 @@ def sink_upsert_latest(spark, folder):
     """A latest-value table kept by an update-mode stream."""
     stream = jobs.page_views(_views(spark, folder), delay=DELAY)
     rows = sinks.read_batches(spark, _write(spark, stream, "pv", "update"))
-    return sinks.latest(rows, ["label", "window_end"])
-
-
-STREAM_ORDER_SQL = f"""SELECT * FROM (SELECT order_id, id AS create_id,
- CASE WHEN pay_us < us + {H6} THEN 'success' WHEN us + {H6} <= mark THEN 'timeout' END AS event_type FROM (
- SELECT *, first_value(CASE WHEN kind = 'pay' THEN us END IGNORE NULLS) OVER (PARTITION BY order_id
- ORDER BY us, id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS pay_us,
- max(us) OVER () - {DELAY_MS * 1000} AS mark FROM {ORDERS})
- WHERE kind = 'create') WHERE event_type IS NOT NULL"""
+    newest = sinks.latest(rows, ["label", "window_end"]).withColumn("_us", F.col("window_end") * 1000)
+    return _own(newest, "_us", folder).drop("_us")
 
 
 def _order_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,19 +143,20 @@ def _order_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("stream_order_timeout", STREAM_ORDER_SQL)
+@query("stream_order_timeout", ORDER_SQL)
 def stream_order_timeout(spark, folder):
     """Successes and timeouts go to two tables; both are read back."""
     path = scratch_dir(spark, "orders")
     sink = sinks.split_batches({
         "success": sinks.batch_folders(f"{path}/success"), "timeout": sinks.batch_folders(f"{path}/timeout"),
     })
-    with session_conf(spark, jobs.ORDER_SETTINGS):
+    with session_conf(spark, {**jobs.STATE_SETTINGS, **jobs.ORDER_SETTINGS}):
         stream = jobs.order_results(_order_stream(spark, folder), within="6 hours", delay=DELAY)
         sinks.run_available(stream.writeStream.outputMode("append").foreachBatch(sink), f"{path}/checkpoint")
     both = sinks.read_batches(spark, f"{path}/success").unionByName(
         sinks.read_batches(spark, f"{path}/timeout"))
-    return both.drop("batch_id")
+    # the closing click and purchase are an order of their own
+    return both.where("order_id >= 0").drop("batch_id")
 
 
 def _login_stream(spark: SparkSession, folder: str, failed: bool) -> DataFrame:
@@ -124,24 +170,19 @@ _CUTS = f"""SELECT *, min(us) OVER (PARTITION BY user_id ORDER BY us
 
 @query("stream_login_fail_burst", f"""SELECT user_id, event_id, ip, 'fail' AS event_type, size FROM (
  SELECT user_id, cut_us, arg_min(id, (us, id)) AS event_id, arg_min(ip, (us, id)) AS ip, count(*) AS size
- FROM ({_CUTS} FROM {LOGINS} WHERE kind = 'fail') GROUP BY user_id, cut_us) WHERE size > 1
- AND cut_us <= 1000 * {_passed("(SELECT ts FROM events WHERE event_type = 'error')")}""")
+ FROM ({_CUTS} FROM {LOGINS} WHERE kind = 'fail') GROUP BY user_id, cut_us) WHERE size > 1""")
 def stream_login_fail_burst(spark, folder):
-    with session_conf(spark, jobs.STATE_SETTINGS):
-        stream = bursts.fail_bursts(_login_stream(spark, folder, True), within="6 hours", delay=DELAY)
-        path = _write(spark, stream, "bursts", "append")
+    stream = bursts.fail_bursts(_login_stream(spark, folder, True), within="6 hours", delay=DELAY)
+    path = _write(spark, stream, "bursts", "append")
     return sinks.read_batches(spark, path).drop("batch_id")
 
 
 @query("stream_login_fail_burst_list", f"""SELECT user_id, cut_us, size, event_id, ip, 'fail' AS event_type FROM (
  SELECT user_id, cut_us, id AS event_id, ip, count(*) OVER (PARTITION BY user_id, cut_us) AS size
- FROM (SELECT * FROM ({_CUTS} FROM {LOGINS}) WHERE kind = 'fail')) WHERE size > 1
- AND cut_us <= 1000 * {_passed("events")}""")
+ FROM (SELECT * FROM ({_CUTS} FROM {LOGINS}) WHERE kind = 'fail')) WHERE size > 1""")
 def stream_login_fail_burst_list(spark, folder):
-    with session_conf(spark, jobs.STATE_SETTINGS):
-        stream = bursts.fail_bursts(_login_stream(spark, folder, False), within="6 hours", delay=DELAY,
-                                    members=True)
-        path = _write(spark, stream, "burst-members", "append")
+    stream = bursts.fail_bursts(_login_stream(spark, folder, False), within="6 hours", delay=DELAY, members=True)
+    path = _write(spark, stream, "burst-members", "append")
     return sinks.read_batches(spark, path).drop("batch_id")
 
 
@@ -149,6 +190,6 @@ def stream_login_fail_burst_list(spark, folder):
 def land_raw_stream(spark, folder):
     """Lines are landed as they come and parsed from the landed files."""
     path = scratch_dir(spark, "landed")
-    lines = source.behavior_lines(_events(spark, folder))
+    lines = source.behavior_lines(_events(spark, folder).where("event_id >= 0"))
     sinks.run_available(sinks.land_raw(lines, f"{path}/out", "text"), f"{path}/checkpoint")
     return parse.behavior_rows(read_lines(spark, f"{path}/out"))

@@ -1,11 +1,11 @@
-"""Sinks. Every one is safe to repeat after a failure: a batch that is run again
-replaces what its first run wrote."""
+"""Sinks. A batch that is run again after a failure replaces what its first run wrote; what the database sink needs for
+that, it states."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -50,6 +50,13 @@ def latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 
 
+def running_totals(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``count``: what ``value`` of ``read_batches`` sums up to per key, after each batch. A key has a row per batch at
+    most, so a window over it is short."""
+    upto = Window.partitionBy(*keys).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.select(*keys, "batch_id", F.sum(value).over(upto).alias("count"))
+
+
 def compact(spark: SparkSession, path: str, to: str, keys: Sequence[str]) -> None:
     """Write the newest rows of a batch-folder table to a new one, as its first batch,
     so that a long-running table does not keep every correction."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsemark.functions import calendar, event_time, text
 from pulsemark.operators import enrich, parse
 from pulsemark.session import session_conf
-from pulsemark.sources import readers
+from pulsemark.sources import events, readers
 
 
 def lines(spark, *values):
@@ -62,23 +62,49 @@ def test_event_time_does_not_depend_on_the_zone(spark, zone):
 
 
 def test_calendar_functions(spark):
-    frame = spark.sql("SELECT '2017-10-31 20:27:53' AS a, '2017-10-31 20:28:00' AS b, "
-                      "timestamp_ntz'2017-11-01 09:05:03' AS ts, '20171101' AS k")
+    frame = spark.sql("SELECT '2018-10-31 21:27:53' AS a, '2018-10-31 21:28:00' AS b, "
+                      "timestamp_ntz'2018-11-01 09:05:03' AS ts, '20181101' AS k")
     a, b, ts = F.col("a"), F.col("b"), F.col("ts")
     expected = [
         (calendar.before(a, b), True), (calendar.before(a, a), False), (calendar.after(a, b), False),
         (calendar.after(b, a), True), (calendar.seconds_between(a, b), -7),
-        (calendar.date_hour(a), "2017-10-31_20"), (calendar.today_text(ts), "01/11/2017"),
-        (calendar.yesterday_text(ts), "31/10/2017"), (calendar.format_date(ts), "01/11/2017"),
-        (calendar.format_time(ts), "2017-11-01 09:05:03"),
-        (calendar.parse_time(a), dt.datetime(2017, 10, 31, 20, 27, 53)),
-        (calendar.date_key(ts), "20171101"), (calendar.parse_date_key(F.col("k")), dt.date(2017, 11, 1)),
-        (calendar.minute_key(ts), "201711010905"),
+        (calendar.date_hour(a), "2018-10-31_21"), (calendar.today_text(ts), "01/11/2018"),
+        (calendar.yesterday_text(ts), "31/10/2018"), (calendar.format_date(ts), "01/11/2018"),
+        (calendar.format_time(ts), "2018-11-01 09:05:03"),
+        (calendar.parse_time(a), dt.datetime(2018, 10, 31, 21, 27, 53)),
+        (calendar.date_key(ts), "20181101"), (calendar.parse_date_key(F.col("k")), dt.date(2018, 11, 1)),
+        (calendar.minute_key(ts), "201811010905"),
     ]
     got = frame.select(*[column.alias(f"c{i}") for i, (column, _) in enumerate(expected)]).first()
     assert list(got) == [value for _, value in expected]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_time_keys_do_not_move_out_of_a_daylight_saving_gap(spark, zone):
+    with session_conf(spark, {"spark.sql.session.timeZone": zone}):
+        frame = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00' AS ts")
+        row = enrich.time_keys(frame, "ts", "2024-03-10 01:30:00").drop("ts").collect()[0]
+    assert row.asDict() == {
+        "time_text": "2024-03-10 02:30:00", "date_text": "10/03/2024", "day_before": "09/03/2024", "date_key": "20240310",
+        "hour_key": "2024-03-10_02", "minute_key": "202403100230", "is_before": False, "is_after": True, "seconds_to": 3600}
+
+
+@pytest.mark.parametrize("props, value", [('{"a":{"k":1},"k":2}', 2), ('{"k": "7"}', 7), ('{"x": 1}', None), ('{"k": -3}', -3)])
+def test_number_reads_json(spark, props, value):
+    assert one(spark.createDataFrame([(props,)], "props string"), events.number()) == value
+
+
+def test_number_that_is_none_fails(spark):
+    with pytest.raises(Exception):
+        one(spark.createDataFrame([('{"k": 1.5}',)], "props string"), events.number())
+
+
+def test_other_event_types_keep_their_name_and_missing_values_their_field(spark):
+    frame = spark.sql("SELECT 1L AS event_id, timestamp_ntz'2024-01-01 00:00:01' AS ts, 5L AS user_id, 'error' AS event_type, "
+                      "'{}' AS props")
+    assert events.behavior_lines(frame).first().value == "5,,,error,1704067201000"
+
+
 def test_text_functions(spark):
     frame = spark.sql("SELECT ',a,' AS both, 'a' AS none, '' AS empty, CAST(NULL AS string) AS missing, '7' AS one, '123' AS long")
     expected = [

@@ -127,3 +127,11 @@ def test_against_brute_force(spark, seed, stretch):
     got = patterns.order_results(orders(spark, order_rows), within="2 seconds", stretch=stretch, **MS)
     assert sorted((r.order_id, r.create_id, r.event_type) for r in got.collect()) == \
         brute_orders(order_rows, 2000)
+
+
+def test_failed_logins_without_a_user_have_members_too(spark):
+    rows = logins(spark, [(None, "a", "fail", 0), (None, "b", "fail", 500), (1, "c", "fail", 0), (1, "d", "fail", 900)])
+    heads = {(r.user_id, r.size) for r in patterns.fail_bursts(rows, unit="ms").collect()}
+    members = patterns.fail_burst_members(rows, unit="ms").collect()
+    assert heads == {(None, 2), (1, 2)}
+    assert sorted((str(r.user_id), r.ip) for r in members) == [("1", "c"), ("1", "d"), ("None", "a"), ("None", "b")]

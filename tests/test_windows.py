@@ -179,3 +179,18 @@ def test_pruned_top_n_with_ties_and_a_null_key(spark):
     for buckets in (1, 4):
         ours = topn.top_n_sliding(frame, "item_id", 2, buckets=buckets, **args)
         assert ours.count() == plain.count() and ours.exceptAll(plain).count() == 0
+
+
+def test_ranking_many_keys_within_one_window_keeps_blocks_small(spark):
+    """Nothing can be pruned where no key fills a block; the last task of a block still gets n rows per bucket and run."""
+    rows = spark.range(20_000).select(F.col("id").alias("item_id"), (F.lit(BASE_MS) + F.col("id") % 290_000).alias("ts"))
+    panes = sliding.pane_counts(rows, "ts", micros("1 hour"), micros("1 minute"), ["item_id"], "ms")
+    size, slide, block = micros("1 hour"), micros("1 minute"), 5 * micros("1 minute")
+    runs = topn._runs(topn._contenders(panes, "item_id", 3, size, slide, block, 8), "item_id", slide, block,
+                      ["_bucket", "_stretch", "_block"])
+    kept = topn._ranked(runs, "item_id", 3, ["_bucket", "_stretch"])
+    most = kept.groupBy("_block", "_at").count().agg(F.max("count")).first()[0]
+    assert most <= 8 * 3
+    got = topn.top_n_sliding(rows, "item_id", 3, size="1 hour", slide="1 minute", unit="ms", buckets=8)
+    whole = topn.top_n(sliding.sliding_counts(rows, "ts", "1 hour", "1 minute", ["item_id"], "ms"), "item_id", 3)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in whole.collect()}
