@@ -14,6 +14,7 @@ from ..plans.sliding import tumbling
 
 
 def _timed(rows: DataFrame, ts: str) -> DataFrame:
+    """Rows without a time lie in no window and are left out of all counts here."""
     return rows.where(F.col(ts).isNotNull())
 
 

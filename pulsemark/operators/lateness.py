@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.event_time import epoch_us, floor_to, micros
 from ..plans.running import running
 
-ON_TIME, LATE_ACCEPTED, DROPPED = "on_time", "late_accepted", "dropped"
+ON_TIME, LATE_ACCEPTED, DROPPED, NO_TIME = "on_time", "late_accepted", "dropped", "no_time"
 
 
 def late_records(rows: DataFrame, arrival: str, keys: Sequence[str] = (), ts: str = "ts",
@@ -25,8 +25,9 @@ def late_records(rows: DataFrame, arrival: str, keys: Sequence[str] = (), ts: st
     record has fired. ``late_accepted``: some window still takes it after firing
     or after others closed. ``dropped``: all are closed.
 
-    The running maximum is cut by ``arrival`` into pieces of ``chunk_rows``
-    consecutive numbers.
+    The running maximum is cut by ``arrival`` into pieces ``chunk_rows`` wide, in the unit of ``arrival``: for dense
+    numbers that many rows; where arrival is a time, give the width that holds about a million rows. Records without a
+    time have no window and get the status ``no_time``.
     """
     size, slide, delay, lateness = (micros(d) for d in (size, slide, delay, lateness))
     millisecond = 1_000
@@ -43,13 +44,15 @@ def late_records(rows: DataFrame, arrival: str, keys: Sequence[str] = (), ts: st
         steps = F.call_function("div", floor_to(limit - first, slide), F.lit(slide)) + F.lit(1)
         return F.least(F.col("windows"), F.greatest(F.coalesce(steps, F.lit(0)), F.lit(0)))
 
+    none = rows.where(F.col(ts).isNull()).withColumns({
+        **{name: F.lit(0).cast("bigint") for name in ("windows", "fired", "closed")}, "status": F.lit(NO_TIME)})
     return (
         seen.withColumn("windows", F.call_function("div", last - first, F.lit(slide)) + F.lit(1))
         .withColumn("fired", ends_up_to(watermark + F.lit(millisecond)))
         .withColumn("closed", ends_up_to(watermark + F.lit(millisecond - lateness)))
         .withColumn("status", F.when(F.col("fired") == 0, ON_TIME)
                     .when(F.col("closed") < F.col("windows"), LATE_ACCEPTED).otherwise(DROPPED))
-        .drop("_us", "_seen")
+        .drop("_us", "_seen").unionByName(none)
     )
 
 

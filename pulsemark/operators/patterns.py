@@ -6,7 +6,7 @@ steps of the pattern. Look-ahead uses ``lead`` with IGNORE NULLS, which advances
 through the rows once; a frame that reaches to the end of the group would be
 recomputed for every row.
 
-Rows are ordered by (time, event id).
+Rows are ordered by (time, event id); rows without a time take part in no pattern.
 """
 
 from __future__ import annotations

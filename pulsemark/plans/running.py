@@ -3,8 +3,9 @@
 A plain ``Window.partitionBy(key).orderBy(...)`` sends a whole key to one task.
 Here the ordered group is cut into chunks. Each chunk's total is small; the
 totals before a chunk are summed up and put in front of it as one extra row, the
-carry. The window then runs per chunk. The rows are shuffled once and joined
-with nothing, so a hot key spreads over as many tasks as it has chunks.
+carry. The window then runs per chunk, so a hot key spreads over as many tasks
+as it has chunks. The plan reads the rows twice, for the totals and for the
+window, and shuffles the totals twice and the rows once; nothing is joined.
 """
 
 from __future__ import annotations

@@ -28,7 +28,7 @@ STRETCH = 8
 
 def pane_counts(df: DataFrame, ts: str, size: int, slide: int, keys: Sequence[str],
                 unit: str | None = None) -> DataFrame:
-    """Rows per key and pane; columns ``keys``, ``_pane`` (start, µs), ``_n``."""
+    """Rows per key and pane; columns ``keys``, ``_pane`` (start, µs), ``_n``. Rows without a time are in no pane."""
     pane = floor_to(epoch_us(df, ts, unit), gcd(size, slide))
     return (
         df.where(F.col(ts).isNotNull())

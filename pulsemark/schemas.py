@@ -12,17 +12,3 @@ def _layout(**fields) -> StructType:
 # inputs
 USER_BEHAVIOR = _layout(user_id=LongType, item_id=LongType, category_id=IntegerType,
                         behavior=StringType, timestamp=LongType)
-ACCESS_LOG = _layout(ip=StringType, user_id=StringType, event_time=LongType,
-                     method=StringType, url=StringType)
-LOGIN_EVENT = _layout(user_id=LongType, ip=StringType, event_type=StringType, event_time=LongType)
-ORDER_EVENT = _layout(order_id=LongType, event_type=StringType, event_time=LongType)
-MARKET_BEHAVIOR = _layout(user_id=StringType, behavior=StringType, channel=StringType,
-                          timestamp=LongType)
-
-# outputs
-ITEM_VIEW_COUNT = _layout(item_id=LongType, window_end=LongType, count=LongType)
-URL_VIEW_COUNT = _layout(url=StringType, window_end=LongType, count=LongType)
-UV_COUNT = _layout(window_end=LongType, count=LongType)
-MARKET_COUNT = _layout(window_start=StringType, window_end=StringType, channel=StringType,
-                       behavior=StringType, count=LongType)
-ORDER_RESULT = _layout(order_id=LongType, event_type=StringType)

@@ -130,10 +130,13 @@ def stream_uv_final(spark, folder):
 
 @query("sink_upsert_latest", SQL["pv_hourly"])
 def sink_upsert_latest(spark, folder):
-    """A latest-value table kept by an update-mode stream."""
-    stream = jobs.page_views(_views(spark, folder), delay=DELAY)
-    rows = sinks.read_batches(spark, _write(spark, stream, "pv", "update"))
-    newest = sinks.latest(rows, ["label", "window_end"]).withColumn("_us", F.col("window_end") * 1000)
+    """A latest-value table kept by an update-mode stream, compacted every second batch."""
+    stream, path = jobs.page_views(_views(spark, folder), delay=DELAY), scratch_dir(spark, "pv")
+    with session_conf(spark, jobs.STATE_SETTINGS):
+        writer = stream.writeStream.outputMode("update").foreachBatch(
+            sinks.upsert_batches(f"{path}/out", ["label", "window_end"], every=2))
+        sinks.run_available(writer, f"{path}/checkpoint")
+    newest = sinks.read_upserts(spark, f"{path}/out", ["label", "window_end"]).withColumn("_us", F.col("window_end") * 1000)
     return _own(newest, "_us", folder).drop("_us")
 
 

@@ -1,10 +1,10 @@
-"""Sinks. A batch that is run again after a failure replaces what its first run wrote; what the database sink needs for
-that, it states."""
+"""Sinks. Every one is safe to repeat after a failure: a batch that is run again replaces what its first run wrote."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -57,23 +57,55 @@ def running_totals(rows: DataFrame, keys: Sequence[str], value: str) -> DataFram
     return rows.select(*keys, "batch_id", F.sum(value).over(upto).alias("count"))
 
 
-def compact(spark: SparkSession, path: str, to: str, keys: Sequence[str]) -> None:
-    """Write the newest rows of a batch-folder table to a new one, as its first batch,
-    so that a long-running table does not keep every correction."""
-    latest(read_batches(spark, path), keys).write.mode("errorifexists").parquet(f"{to}/batch_id=-1")
+def upsert_batches(path: str, keys: Sequence[str], every: int = 16) -> BatchWriter:
+    """A latest-value table that compacts itself: each batch is a folder of changes, and every so many batches the newest
+    rows per key so far become a version of the table. A version is named only once it is written, so readers and
+    repeated batches never see half of one. ``read_upserts`` reads the newest version and the changes after it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        if batch_id % every == every - 1:
+            newest = read_upserts(spark, path, keys, before=batch_id)
+            newest.write.mode("overwrite").parquet(f"{path}/versions/version={batch_id}")
+            spark.range(batch_id, batch_id + 1).toDF("version").write.mode("append").parquet(f"{path}/names")
+
+    return write
+
+
+def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], before: int | None = None) -> DataFrame:
+    """The newest row per key of an ``upsert_batches`` table; ``before`` leaves versions of that batch and later out."""
+    version = None
+    try:
+        names = spark.read.parquet(f"{path}/names")
+        version = names.where(F.col("version") < before if before is not None else F.lit(True)).agg(F.max("version")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    changes = read_batches(spark, f"{path}/changes")
+    if version is None:
+        return latest(changes, keys)
+    base = spark.read.parquet(f"{path}/versions/version={version}").withColumn("batch_id", F.lit(version).cast("bigint"))
+    return latest(changes.where(F.col("batch_id") > version).unionByName(base), keys)
+
+
+def replace_statements(table: str, columns: Sequence[str], batch_id: int) -> list[str]:
+    """SQL that puts a staged batch in place of what an earlier run of it wrote."""
+    named = ", ".join(columns)
+    return [f"DELETE FROM {table} WHERE batch_id = {int(batch_id)}",
+            f"INSERT INTO {table} ({named}) SELECT {named} FROM {table}_staging"]
 
 
-def jdbc_batches(url: str, table: str, properties: dict[str, str],
-                 shape: Callable[[DataFrame], DataFrame] = lambda df: df,
-                 connections: int = 8) -> BatchWriter:
-    """Append each batch to a database table, with its ``batch_id``.
+def jdbc_batches(url: str, table: str, properties: dict[str, str], execute: Callable[[list[str]], None],
+                 shape: Callable[[DataFrame], DataFrame] = lambda df: df, connections: int = 8) -> BatchWriter:
+    """Write each batch to a database table, with its ``batch_id``; a repeated batch replaces its first run.
 
-    The target needs a unique key on (batch_id, window_end, rank), so that a
-    repeated batch is refused or merged there. Needs the database's driver jar.
+    Executors fill ``<table>_staging``; then ``execute`` must run the statements it is given in one transaction, over a
+    connection of the caller's. Needs the database's driver jar.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = shape(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        rows.write.option("numPartitions", connections).jdbc(url, table, "append", properties)
+        rows.write.option("numPartitions", connections).jdbc(url, f"{table}_staging", "overwrite", properties)
+        execute(replace_statements(table, rows.columns, batch_id))
 
     return write
 

@@ -55,3 +55,9 @@ def test_limit_of_lateness(spark, ahead, status):
     assert [r.status for r in got] == ["on_time", status]
     audit = lateness.late_audit(lateness.late_records(frame_of(spark, rows), "event_id", **ARGS))
     assert {r.status: r.records for r in audit.collect()} == {"on_time": 1, status: 1}
+
+
+def test_records_without_a_time_are_counted(spark):
+    rows = spark.createDataFrame([(1, 1, BASE_MS), (2, 2, None), (3, 3, BASE_MS + 5)], "event_id bigint, arrival bigint, ts bigint")
+    audit = lateness.late_audit(lateness.late_records(rows, "arrival", unit="ms"))
+    assert {r.status: r.records for r in audit.collect()} == {"on_time": 2, "no_time": 1}

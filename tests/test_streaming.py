@@ -121,7 +121,7 @@ def test_distinct_and_first_seen(spark, tmp_path):
     assert got == whole
 
 
-def test_page_views_update_and_compact(spark, tmp_path):
+def test_page_views_update(spark, tmp_path):
     feed = Feed(spark, tmp_path, ITEM)
     batches = item_batches(4, disorder=0)
     for batch in batches:
@@ -130,11 +130,25 @@ def test_page_views_update_and_compact(spark, tmp_path):
     now = sinks.latest(out, ["label", "window_end"])
     whole = counts.page_views(spark.createDataFrame(list(itertools.chain(*batches)), ITEM), size="10 seconds", unit="ms")
     assert {tuple(r) for r in now.collect()} == {tuple(r) for r in whole.collect()}
-    path = str(tmp_path / "table")
-    out.write.partitionBy("batch_id").parquet(path)
-    sinks.compact(spark, path, str(tmp_path / "compacted"), ["label", "window_end"])
-    small = sinks.latest(sinks.read_batches(spark, str(tmp_path / "compacted")), ["label", "window_end"])
-    assert {tuple(r) for r in small.collect()} == {tuple(r) for r in now.collect()}
+
+
+def test_an_upsert_table_compacts_itself(spark, tmp_path):
+    path, keys = str(tmp_path / "table"), ["k"]
+    write = sinks.upsert_batches(path, keys, every=2)
+    now = {}
+    for n in range(5):
+        rows = [(k, 10 * n + k) for k in range(n, n + 3)]
+        now |= dict(rows)
+        for _ in range(2):  # a repeated batch changes nothing
+            write(spark.createDataFrame(rows, "k int, v int"), n)
+        assert {r.k: r.v for r in sinks.read_upserts(spark, path, keys).collect()} == now
+    assert {r.version for r in spark.read.parquet(f"{path}/names").collect()} == {1, 3}
+
+
+def test_a_repeated_batch_replaces_its_rows_in_a_database():
+    assert sinks.replace_statements("ranks", ["window_end", "rank", "batch_id"], 7) == [
+        "DELETE FROM ranks WHERE batch_id = 7",
+        "INSERT INTO ranks (window_end, rank, batch_id) SELECT window_end, rank, batch_id FROM ranks_staging"]
 
 
 def test_orders(spark, tmp_path):
