@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import (BY_CHANNEL_SQL, H6, HOUR, LOGINS, ORDER_SQL, SQL, TOTAL_SQL, URLS_SQL, VIEWS, ITEMS_SQL, _top, _tumble, query)
-from .functions.event_time import epoch_us, event_time, micros
+from .functions.event_time import epoch_us, event_time, micros, us_to_ntz
 from .operators import counts, parse, topn
 from .session import scratch_dir, session_conf
 from .sources import events as source
@@ -26,6 +26,11 @@ CLOSING = "3650 days"
 _STAGED: dict[tuple[str, str], str] = {}
 
 
+def _last(table: DataFrame) -> int:
+    """The table's last time in µs."""
+    return table.agg(F.max(epoch_us(table, "ts"))).first()[0] or 0
+
+
 def _staged(spark: SparkSession, folder: str) -> str:
     """The folder of the table's files in order of arrival; written once per session and table."""
     key = (spark.sparkContext.applicationId, folder)
@@ -44,9 +49,8 @@ def _staged(spark: SparkSession, folder: str) -> str:
                 own = own.where(F.col("_arrival") <= high)
             # one file per batch, as the file source counts files
             own.drop("_arrival").coalesce(1).write.mode("append").parquet(path)
-        last = table.agg(F.max("ts").alias("last"))
-        closing = table.groupBy("event_type").agg(F.min("props").alias("props")).crossJoin(F.broadcast(last)).select(
-            F.lit(-1).cast("bigint").alias("event_id"), (F.col("last") + F.expr(f"INTERVAL {CLOSING}")).alias("ts"),
+        closing = table.groupBy("event_type").agg(F.min("props").alias("props")).select(
+            F.lit(-1).cast("bigint").alias("event_id"), us_to_ntz(F.lit(_last(table) + micros(CLOSING))).alias("ts"),
             F.lit(-1).cast("bigint").alias("user_id"), "event_type", F.lit(0.0).alias("value"), "props")
         closing.select(table.columns).coalesce(1).write.mode("append").parquet(path)
         _STAGED[key] = path
@@ -71,8 +75,7 @@ def _write(spark: SparkSession, stream: DataFrame, name: str, mode: str, shape=l
 
 def _own(rows: DataFrame, time: str, folder: str) -> DataFrame:
     """Without what belongs to the closing records; ``time`` is in µs."""
-    table = source.table(rows.sparkSession, folder)
-    last = table.agg(F.max(epoch_us(table, "ts"))).first()[0] or 0
+    last = _last(source.table(rows.sparkSession, folder))
     return rows.where(F.col(time) < last + micros(CLOSING) // 2)
 
 
