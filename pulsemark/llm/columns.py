@@ -13,6 +13,16 @@ def fold(id_column: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def lowest_hashes(df: DataFrame, order: str, limit: int, rows: int, *ties: str) -> DataFrame:
+    """At most ``limit`` of about ``rows`` rows, those of the smallest 64-bit hash ``order``.
+
+    Rows whose hash is too large to be among them are left out first, so three times the limit meet in the last task,
+    not the limit of each task.
+    """
+    bound = min(-(1 << 63) + (1 << 64) * 3 * (limit + 30) // max(rows, 1), (1 << 63) - 1)
+    return df.where(F.col(order) <= bound).orderBy(order, *ties).limit(limit)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here, and a lost executor loses nothing."""
     path = scratch_dir(df.sparkSession, name)

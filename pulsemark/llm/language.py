@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as tx
-from .columns import stored
+from .columns import lowest_hashes, stored
 
 BITS = 15
 BUCKETS = 1 << BITS
@@ -172,13 +172,14 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: i
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    names = sorted(r["lang"] for r in most.collect())
+    texts = {r["lang"]: r["count"] for r in most.collect()}
+    names = sorted(texts)
     k = len(names)
     model = Model(names, np.zeros((BUCKETS, k), np.float32), np.zeros((BUCKETS, k), np.float32), np.zeros((k, k)))
     if k < 2:
         return model
     spark, hashed = docs.sparkSession, known.withColumn("order", F.xxhash64("text"))
-    parts = [hashed.where(F.col("lang") == n).orderBy("order", "text").limit(per_language) for n in names]
+    parts = [lowest_hashes(hashed.where(F.col("lang") == n), "order", per_language, texts[n], "text") for n in names]
     sample = parts[0]
     for more in parts[1:]:
         sample = sample.unionByName(more)

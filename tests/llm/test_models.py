@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from pulsemark.llm import language, lm, quality, toxicity
-from pulsemark.llm.columns import fold, table
+from pulsemark.llm.columns import fold, lowest_hashes, table
 
 DATA = "/root/testdata/sf0.01"
 
@@ -49,6 +49,13 @@ def test_language_on_held_out_texts(spark):
     assert len({r["lang_pred"] for r in language.words(mixed, model).collect()}) > 1
 
 
+def test_lowest_hashes_are_those_of_a_full_sort(spark):
+    rows = spark.range(5000).select("id", F.xxhash64("id").alias("h"))
+    want = [r["id"] for r in rows.orderBy("h").limit(200).collect()]
+    assert [r["id"] for r in lowest_hashes(rows, "h", 200, 5000, "id").collect()] == want
+    assert lowest_hashes(rows, "h", 9000, 5000, "id").count() == 5000 and lowest_hashes(rows.limit(0), "h", 5, 0).count() == 0
+
+
 def test_language_of_odd_rows(spark, odd, none):
     model = language.fit(odd, rounds=2)
     got = {(r["doc_id"], r["lang_pred"], r["score"]) for r in language.predict(odd, model).select("doc_id", "lang_pred", "score").collect()}
