@@ -7,9 +7,12 @@ lists of common tokens are skipped where rarer ones do. Rarity comes from a tabl
 classes; any order would be right, as long as it is one order for all. Pairs that agree often enough are confirmed on
 their full sets.
 
-Links are used for components only, so they are sought twice. First every class is compared with the likeliest of the
-smallest classes of its lists, which ties a large group of near copies together by as many links as it has members. Then
-all pairs of a list that lie in different components are compared, in blocks, so no link that matters is lost.
+Links are used for components only, so they are sought twice. First every class is compared with the likeliest leader of
+its lists, the class whose tokens are the most common: in a group of near copies that is the text they were made from, so
+a large group is tied together by as many links as it has members. Then all pairs of a list that lie in different
+components are compared, in blocks of bounded size: by their signatures first, and those that agree on their full sets,
+where the block is. Only links that join components leave it, so no link that matters is lost and none is written out
+for each pair of a group.
 
 Defined results: null texts and texts without words have no shingles and link with nothing; rows of a null id take part,
 never as a component's id; rows that share an id each keep their own set. Other columns pass through ``deduplicated``.
@@ -27,11 +30,12 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .blocks import block_pairs
-from .columns import stored
+from .columns import fresh, stored
 from .graph import components
 
 COORDINATES = 32
 COUNTERS = 1 << 18
+_SLICE = 1 << 18  # bytes of text at a time: hashes take many times their room
 _FILTER_WORDS = 1 << 15  # 64-bit words of the filter that spares most texts a second look
 _RNG = np.random.Generator(np.random.PCG64(20))
 _A = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -80,7 +84,7 @@ def signatures(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """One row per row of ``docs``: id, n (size of the set), node (its key), sig, seen (hash of the text)."""
 
     def signed(batches):
-        for part in tx.slices(batches):
+        for part in tx.slices(batches, limit=_SLICE):
             made, first = shingle_sets(part, k)
             sig = np.zeros((part.rows.num_rows, COORDINATES), np.uint32)
             for i in range(COORDINATES):
@@ -126,51 +130,57 @@ def _prefixes(sig: np.ndarray, common: np.ndarray, length: int) -> np.ndarray:
     return np.take_along_axis(tokens, order[:, :length], axis=1)
 
 
-def postings(classes: DataFrame, length: int) -> DataFrame:
-    """(token, node) for the prefix of every class."""
-    common = classes.sparkSession.sparkContext.broadcast(rarity(classes))
+def postings(classes: DataFrame, length: int, common: np.ndarray) -> DataFrame:
+    """(token, node, fame) for the prefix of every class; fame grows with how common all its tokens are."""
+    shared = classes.sparkSession.sparkContext.broadcast(common)
 
     def posted(batches):
         for batch in batches:
-            chosen = _prefixes(_sig(batch.column("sig")), common.value, length)
+            sig = _sig(batch.column("sig"))
+            chosen = _prefixes(sig, shared.value, length)
+            fame = np.log(shared.value[(_tokens(sig) % np.uint64(COUNTERS)).astype(np.int64)] + 1.0).sum(1)
             nodes = batch.column("node").take(pa.array(np.repeat(np.arange(len(chosen)), length)))
-            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(chosen.ravel().copy())), nodes], ["token", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(chosen.ravel().copy())), nodes,
+                                              pa.array(np.repeat(fame, length))], ["token", "node", "fame"])
 
-    return classes.select("node", "sig").mapInArrow(posted, "token bigint, node binary")
+    return classes.select("node", "sig").mapInArrow(posted, "token bigint, node binary, fame double")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough.
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, text: str, k: int) -> DataFrame:
+    """(node, shingles) for the given nodes.
 
-    Texts that may hold a set of a pair are told by a filter of fixed size; only their sets are made and joined.
+    Texts that may hold one of the sets are told by a filter of fixed size; only their sets are made and joined.
     """
-    spark = docs.sparkSession
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = classes.join(nodes, "node").select(F.pmod("seen", F.lit(_FILTER_WORDS * 64)).alias("bit"))
     marks = wanted.groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
     table = np.zeros(_FILTER_WORDS, np.int64)
-    table[np.asarray(marks.column("word"))] = np.asarray(marks.column("bits"))
-    shared = spark.sparkContext.broadcast(table.view(np.uint64))
+    table[np.asarray(marks.column("word"), np.int64)] = np.asarray(marks.column("bits"), np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
 
     def made(batches):
         for batch in batches:
             bit = batch.column("bit").to_numpy()
             some = (shared.value[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)
-            for part in tx.slices(iter([batch.filter(pa.array(some.astype(bool)))])):
+            for part in tx.slices(iter([batch.filter(pa.array(some.astype(bool)))]), limit=_SLICE):
                 values, first = shingle_sets(part, k)
                 yield pa.RecordBatch.from_arrays([set_keys(values, first), tx.binaries(values, first)], ["node", "shingles"])
 
     texts = docs.select(F.col(text).alias("text"), F.pmod(F.xxhash64(text), F.lit(_FILTER_WORDS * 64)).alias("bit"))
     sets = texts.mapInArrow(made, "node binary, shingles binary").join(nodes, "node", "left_semi")
-    sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "minhash-sets")
+    return stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "minhash-sets")
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = full_sets(nodes, classes, docs, text, k)
 
     def similar(batches):
         for batch in batches:
-            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            keep = np.zeros(len(left), bool)
-            for i, (x, y) in enumerate(zip(left, right, strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column("left"), batch.column("right"), strict=True)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
@@ -190,12 +200,48 @@ def _agreements(matches: int):
     return kept
 
 
+class _Block:
+    """The rows of one group: which pairs of different components agree, this list being the first they share."""
+
+    def __init__(self, rows: pa.Table, side: np.ndarray | None, common: np.ndarray, length: int):
+        self.sig, self.n = _sig(rows.column("sig")), rows.column("n").to_numpy()
+        self.nodes = rows.column("node").combine_chunks() if isinstance(rows.column("node"), pa.ChunkedArray) else rows.column("node")
+        roots = np.array(rows.column("root").to_pylist(), dtype=object)
+        self.roots = np.unique(roots, return_inverse=True)[1]
+        self.token = np.int64(rows.column("token")[0].as_py()).view(np.uint64)
+        self.prefixes = _prefixes(self.sig, common, length)
+        self.left = np.arange(len(self.n)) if side is None else np.flatnonzero(side)
+        self.right = np.arange(len(self.n)) if side is None else np.flatnonzero(~side)
+        self.within = side is None
+
+    def candidates(self, matches: int, percent: int):
+        """Pairs (x, y, agreements), some rows at a time."""
+        for at in range(0, len(self.left), 64):
+            own, n = self.left[at:at + 64], self.n
+            fits = (self.roots[own][:, None] != self.roots[self.right]) & (
+                np.minimum(n[own][:, None], n[self.right]) * 100 >= np.maximum(n[own][:, None], n[self.right]) * percent)
+            if self.within:
+                fits &= own[:, None] < self.right
+            i, j = np.nonzero(fits)
+            for lo in range(0, len(i), 1 << 14):
+                x, y = own[i[lo:lo + (1 << 14)]], self.right[j[lo:lo + (1 << 14)]]
+                same = (self.sig[x] == self.sig[y]).sum(1)
+                x, y, same = x[same >= matches], y[same >= matches], same[same >= matches]
+                if not len(x):
+                    continue
+                shared = (self.prefixes[x][:, :, None] == self.prefixes[y][:, None, :]).any(2).argmax(1)
+                here = self.prefixes[x, shared] == self.token
+                if here.any():
+                    yield x[here], y[here], same[here]
+
+
 def links(classes: DataFrame, docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough of them to give every component."""
     matches = least_matches(percent)
     length = COORDINATES - matches + 1
-    posts = postings(classes, length)
-    shared = posts.groupBy("token").agg(F.count("*").alias("_n"), F.min("node").alias("first")).where("_n > 1")
+    common = rarity(classes)
+    posts = postings(classes, length, common)
+    shared = posts.groupBy("token").agg(F.count("*").alias("_n"), F.max(F.struct("fame", "node"))["node"].alias("first")).where("_n > 1")
     lists = stored(posts.join(shared, "token").select("token", "node", "first"), "minhash-lists")
     facts = classes.select("node", "sig", "n")
     near = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
@@ -213,41 +259,58 @@ def links(classes: DataFrame, docs: DataFrame, text: str, k: int, percent: int)
     rooted = lists.select("token", "node").join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = rooted.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo != _hi")
     rest = rooted.join(split.select("token"), "token", "left_semi").join(facts, "node")
-    common = docs.sparkSession.sparkContext.broadcast(rarity(classes))
-
-    def compare(rows: pa.Table, side: np.ndarray | None):
-        sig, n = _sig(rows.column("sig")), rows.column("n").to_numpy()
-        nodes = np.array(rows.column("node").to_pylist(), dtype=object)
-        roots = np.unique(np.array(rows.column("root").to_pylist(), dtype=object), return_inverse=True)[1]
-        token = np.int64(rows.column("token")[0].as_py()).view(np.uint64)
-        left = np.arange(len(n)) if side is None else np.flatnonzero(side)
-        right = np.arange(len(n)) if side is None else np.flatnonzero(~side)
+    order = docs.sparkSession.sparkContext.broadcast(common)
+
+    def partnered(rows: pa.Table, side: np.ndarray | None):
+        block, some = _Block(rows, side, order.value, length), np.zeros(rows.num_rows, bool)
+        for x, y, _ in block.candidates(matches, percent):
+            some[x] = True
+            some[y] = True
+        return pa.RecordBatch.from_arrays([rows.column(c).combine_chunks() if isinstance(rows.column(c), pa.ChunkedArray)
+                                           else rows.column(c) for c in ("token", "node", "root")],
+                                          ["token", "node", "root"]).filter(pa.array(some))
+
+    open_ = stored(block_pairs(rest, ["token"], "node", partnered, "token bigint, node binary, root binary").distinct(),
+                   "minhash-open")
+    sets = full_sets(open_.select("node").distinct(), classes, docs, text, k)
+
+    def joining(rows: pa.Table, side: np.ndarray | None):
+        block = _Block(rows, side, order.value, length)
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("shingles")]
+        parent = list(range(int(block.roots.max()) + 1))
+
+        def top(r):
+            while parent[r] != r:
+                parent[r] = parent[parent[r]]
+                r = parent[r]
+            return r
+
         a, b = [], []
-        for start in range(0, len(left), 128):
-            rows_l = left[start:start + 128]
-            fits = (roots[rows_l][:, None] != roots[right]) & (
-                np.minimum(n[rows_l][:, None], n[right]) * 100 >= np.maximum(n[rows_l][:, None], n[right]) * percent)
-            if side is None:
-                fits &= rows_l[:, None] < right
-            i, j = np.nonzero(fits)
-            for lo in range(0, len(i), 1 << 16):
-                x, y = rows_l[i[lo:lo + (1 << 16)]], right[j[lo:lo + (1 << 16)]]
-                some = (sig[x] == sig[y]).sum(1) >= matches
-                a.append(x[some])
-                b.append(y[some])
+        for x, y, same in block.candidates(matches, percent):
+            for own in np.unique(x):
+                partners = y[x == own][np.argsort(-same[x == own], kind="stable")]
+                mine = sets[own]
+                for at in range(0, len(partners), 64):
+                    some = [p for p in partners[at:at + 64].tolist() if top(block.roots[p]) != top(block.roots[own])]
+                    if not some:
+                        continue
+                    sizes = np.array([len(sets[p]) for p in some])
+                    flat = np.concatenate([sets[p] for p in some])
+                    hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+                    both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+                    for p in np.array(some)[100 * both >= percent * (len(mine) + sizes - both)].tolist():
+                        r, q = top(block.roots[own]), top(block.roots[p])
+                        if r != q:
+                            parent[r] = q
+                            a.append(own)
+                            b.append(p)
         if not a:
             return None
-        a, b = np.concatenate(a), np.concatenate(b)
-        if not len(a):
-            return None
-        # a pair counts in the first list that both are on
-        px, py = _prefixes(sig[a], common.value, length), _prefixes(sig[b], common.value, length)
-        first_shared = np.take_along_axis(px, (px[:, :, None] == py[:, None, :]).any(2).argmax(1)[:, None], 1)[:, 0]
-        a, b = a[first_shared == token], b[first_shared == token]
-        return pa.RecordBatch.from_arrays([pa.array(nodes[a], pa.binary()), pa.array(nodes[b], pa.binary())], ["a", "b"])
+        return pa.RecordBatch.from_arrays([block.nodes.take(pa.array(a)), block.nodes.take(pa.array(b))], ["a", "b"])
 
-    pairs = stored(block_pairs(rest, ["token"], "node", compare, "a binary, b binary"), "minhash-pairs")
-    return first.unionByName(confirmed(pairs, classes, docs, text, k, percent))
+    full = open_.join(facts, "node").join(sets, "node")
+    more = stored(block_pairs(full, ["token"], "node", joining, "a binary, b binary", block=256), "minhash-links")
+    return first.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -269,6 +332,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group, of the smallest id. Rows without an id cannot be named and all stay."""
     found = near_duplicates(docs, key, text, k, percent)
-    ids = found.where(F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias("_id")).distinct()
-    stays = docs.join(ids, docs[key] == ids["_id"]).dropDuplicates(["_id"]).drop("_id")
+    own = fresh(docs, "_id")
+    ids = found.where(F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias(own)).distinct()
+    stays = docs.join(ids, docs[key] == ids[own]).dropDuplicates([own]).drop(own)
     return stays.unionByName(docs.where(F.col(key).isNull()))

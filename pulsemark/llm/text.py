@@ -63,6 +63,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             to = min(max(to, at + 1), batch.num_rows)
             yield Slice(batch.slice(at, to - at), data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at])
             at = to
+        del batch, data
+        pa.default_memory_pool().release_unused()  # workers live on after their task
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -79,7 +81,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, up to ``n``."""
     if len(_POWERS.get("base", ())) < n + 1:
-        size = 1 << max(21, int(n + 1).bit_length())
+        size = 1 << max(19, int(n + 1).bit_length())
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for name, value in (("base", _BASE), ("inverse", inverse)):
             table = np.full(size, value, np.uint64)
