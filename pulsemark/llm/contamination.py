@@ -8,6 +8,9 @@ every item within ``RADIUS`` bits is found: fingerprints are cut into ``PIECES``
 for one bit if ``RADIUS`` bits differ in all, so an item is indexed under every piece and its one-bit neighbours. Found
 pairs are verified by their weighted Jaccard similarity, and the best window of each document and item is kept.
 
+A document of fewer words than an item is one window as a whole: a copy of the item that lost some words. As it may have
+a fifth fewer shingles, fingerprints do not decide; the shingles it shares with each longer item are counted instead.
+
 Items go into the index ``SLICE`` at a time, each slice in its own pass over the documents, so what is broadcast is
 bounded however many there are. Documents are read where they lie; only found pairs are shuffled.
 
@@ -47,6 +50,9 @@ class Index(NamedTuple):
     table: np.ndarray  # bits of the shingles of all items
     heads: np.ndarray  # per piece and value where its items begin
     members: np.ndarray
+    posted: np.ndarray  # the shingles of all items in order,
+    owner: np.ndarray  # the item of each,
+    times: np.ndarray  # and how often it occurs there
 
 
 def fingerprint(shingles: np.ndarray) -> int:
@@ -101,8 +107,12 @@ def build(ids: list, texts: list[str | None]) -> Index:
     slots, items = np.concatenate([*slots, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*items, np.zeros(0, np.int64)])
     order = np.argsort(slots, kind="stable")
     heads = np.searchsorted(slots[order], np.arange((PIECES << 8) + 1))
-    return Index(kept, np.array(words, np.int64), prints, np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64),
-                 flat, np.concatenate([*weights, np.zeros(0, np.int64)]), table, heads, items[order].astype(np.int64))
+    sizes = [len(s) for s in sets]
+    weights = np.concatenate([*weights, np.zeros(0, np.int64)]).astype(np.int64)
+    by = np.argsort(flat, kind="stable")
+    return Index(kept, np.array(words, np.int64), prints, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), flat, weights, table,
+                 heads, items[order].astype(np.int64), flat[by], np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[by],
+                 weights[by].astype(np.int32))
 
 
 def near_items(index: Index, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +139,21 @@ def similarity(index: Index, item: int, window: np.ndarray) -> float:
     return both / (int(times.sum()) + int(index.weights[theirs].sum()) - both)
 
 
+def longer_items(index: Index, made: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(item, similarity) of every item of more shingles than the document ``made`` that is similar enough to all of it."""
+    own, times = np.unique(made, return_counts=True)
+    low, high = (np.searchsorted(index.posted, own, side) for side in ("left", "right"))
+    n = high - low
+    at = np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
+    shared = np.minimum(np.repeat(times, n), index.times[at])
+    item, place = np.unique(index.owner[at], return_inverse=True)
+    both = np.bincount(place, shared, len(item))
+    theirs = index.words[item] - SHINGLE + 1
+    s = both / (len(made) + theirs - both)
+    fits = (theirs > len(made)) & (s >= SIMILARITY)
+    return item[fits], s[fits]
+
+
 def matches(index: Index, part: tx.Slice) -> list[tuple[int, int, int, int, float]]:
     """(row, item, first word, words, similarity) of each row's best window for each item that is similar enough."""
     data = tx.LOWER[part.data]
@@ -165,6 +190,13 @@ def matches(index: Index, part: tx.Slice) -> list[tuple[int, int, int, int, floa
                     r = int(row[at])
                     seen = (-s, int(at - first[r]), size)
                     best[r, i] = min(best.get((r, i), seen), seen)
+        if k == SHINGLE:
+            n = np.diff(first)
+            # nearly all shingles of such a document must be shared, and the longest item must have more
+            whole = long & (n < index.words.max() - k + 1) & (hits[first[1:]] - hits[first[:-1]] >= SIMILARITY * n)
+            for r in np.flatnonzero(whole).tolist():
+                for i, s in zip(*(x.tolist() for x in longer_items(index, made[first[r]:first[r + 1]])), strict=True):
+                    best[r, i] = (-s, 0, int(n[r]) + k - 1)
     return [(r, i, at, size, -s) for (r, i), (s, at, size) in sorted(best.items())]
 
 

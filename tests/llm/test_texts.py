@@ -185,6 +185,46 @@ def test_contamination_agrees_with_all_windows(spark, monkeypatch):
     assert kept == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def brute_whole(docs, items):
+    """Similarity of documents as they are to items of more words."""
+    out = {}
+    for d, text in docs:
+        have = weighed(words(text))
+        for i, item in items:
+            goal = weighed(words(item))
+            both = sum((have & goal).values())
+            if len(words(text)) < len(words(item)) and both:
+                s = both / (sum(have.values()) + sum(goal.values()) - both)
+                if s >= contamination.SIMILARITY:
+                    out[d, i] = s
+    return out
+
+
+def test_documents_shorter_than_the_item_are_compared_whole(spark, monkeypatch):
+    rng = random.Random(11)
+    texts = [[f"v{rng.randrange(300)}" for _ in range(n)] for n in (59, 59, 6, 9, 30, 200, 5, 3)] + [["so"] * 40]
+    texts.append([*texts[1][:-1], "other"])  # items that share most of their shingles
+    items = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(90, None)]
+    docs = []
+    for t in texts:
+        for cut in range(0, len(t) // 4 + 2):
+            for own in (t[cut:], t[:len(t) - cut], t[cut // 2:len(t) - cut + cut // 2], [*t[:9], *t[9 + cut:]]):
+                docs.append((len(docs), ", ".join(own).title()))
+    want = brute_matches(docs, items)
+    short = brute_whole(docs, items)
+    assert not set(want) & set(short) and short[4, 0] == 54 / 55 and min(short.values()) == 0.8
+    want |= short
+    left = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(2)
+    right = spark.createDataFrame(items, "item_id bigint, text string")
+    for size in (contamination.SLICE, 4):
+        monkeypatch.setattr(contamination, "SLICE", size)
+        got = {(r["doc_id"], r["item_id"]): r for r in contamination.contaminated(left, right).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k]["similarity"] - want[k]) < 1e-9 for k in want)
+        assert all(got[k]["first_word"] == 0 and got[k]["words"] == len(words(docs[k[0]][1])) for k in short)
+    kept = {r["doc_id"] for r in contamination.clean(left, right).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _ in want}
+
+
 def test_every_fingerprint_within_the_radius_is_found():
     rng = random.Random(7)
     texts = [" ".join(f"q{rng.randrange(10_000)}" for _ in range(20)) for _ in range(50)]
