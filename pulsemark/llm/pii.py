@@ -2,8 +2,10 @@
 
 Base kinds are emails, addresses (ip), cards and phones: every leftmost, non-overlapping match that passes its
 validator is kept whatever its score. Further kinds, ``iban`` (mod 97 must give 1) and ``ssn`` (valid number ranges), are
-kept when their score reaches ``THRESHOLD``; an ssn needs a word of its context nearby for that. All patterns run over
-the whole text where it lies, in time proportional to its length, without a shuffle.
+kept when their score reaches ``THRESHOLD``; an ssn needs a word of its context nearby for that. An iban ends where its
+country's length says; for a country of unknown length every end of a word is tried, the longest first. The next one is
+looked for right after what was accepted. All patterns run over the whole text where it lies, in time
+proportional to its length, without a shuffle.
 
 Defined results: a null or empty text has no spans and is returned as it is; offsets count code points, ends are
 exclusive; ids may be null or repeated; other columns pass through, and one of the name of the result is replaced.
@@ -32,11 +34,22 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_PLAIN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile(r"[0-9]")
 
+# characters of an account number without spaces, by country
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_LENGTH = {country: n for n, countries in _IBAN_LENGTHS.items() for country in countries.split()}
+
 # how sure a confirmed match is before its context is read
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "ssn": 0.4}
 FOR = {
@@ -83,6 +96,23 @@ def _emails(text: str):
         at = text.find("@", max(done, at + 1))
 
 
+def _ibans(text: str):
+    """At each start the end of a word that fits the country's length, or any if that is not known, the longest first."""
+    done = 0
+    for m in _IBAN_START.finditer(text):
+        if m.start() < done or (run := _IBAN.match(text, m.start())) is None:
+            continue
+        usual = IBAN_LENGTH.get(m[0][:2])
+        for end in range(run.end(), m.start() + 14, -1):
+            if text[end - 1] == " " or text[end:end + 1] in _PLAIN:
+                continue
+            size = end - m.start() - text.count(" ", m.start(), end)
+            if size >= 15 and size == (usual or size) and mod97(text[m.start():end]):
+                yield m.start(), end
+                done = end
+                break
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -102,9 +132,8 @@ def _candidates(text: str):
     for m in _PHONE.finditer(text):
         if 9 <= len(_digits(m[0])) <= 15:
             yield "phone", m.start(), m.end()
-    for m in _IBAN.finditer(text):
-        if mod97(m[0]):
-            yield "iban", m.start(), m.end()
+    for start, end in _ibans(text):
+        yield "iban", start, end
     for m in _SSN.finditer(text):
         area, group, serial = m[0].split("-")
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":

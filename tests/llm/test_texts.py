@@ -53,6 +53,21 @@ def test_checksums_and_context():
     assert near[0].score > far[0].score and far[0].kind == "card"
 
 
+def test_ibans_end_where_they_should():
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+    for iban in (de, gb, no, de.replace(" ", "")):
+        for before in ("", "IBAN ", "AB12 CDEF GHIJ KLMN ", "DE89 3704 ", "(", "X1 "):
+            for after in ("", " BIC COBADEFFXXX", " US account", " I am", " AND 12 MORE WORDS THAN AN ACCOUNT NUMBER HAS", ", US", " A1b", "\n12"):
+                text = f"{before}{iban}{after}"
+                assert [text[s.start:s.end] for s in pii.find(text) if s.kind == "iban"] == [iban], text
+                assert pii.redact(text, [s for s in pii.find(text) if s.kind == "iban"]) == f"{before}[IBAN]{after}"
+    text = f"{de} {gb} {no} {de}"
+    assert [text[s.start:s.end] for s in pii.find(text) if s.kind == "iban"] == [de, gb, no, de]
+    other = next(x for x in (f"ZZ{n:02} ABCD 1234 5678 9" for n in range(2, 99)) if pii.mod97(x))  # a country without a known length
+    assert [s[1:3] for s in pii.find(f"{other} OR SO") if s.kind == "iban"] == [(0, len(other))]
+    assert not [s for s in pii.find("DE89370400440532013000a DE8937040044053201300 0x") if s.kind == "iban"]
+
+
 def test_redaction_joins_overlapping_spans():
     text = "mail a.b@c.de or +1 4111111111111 11 end"
     spans = [pii.Span("email", 5, 13, 1), pii.Span("phone", 17, 33, 1), pii.Span("card", 20, 36, 1)]
