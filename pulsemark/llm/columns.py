@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -19,8 +19,19 @@ def lowest_hashes(df: DataFrame, order: str, limit: int, rows: int, *ties: str)
     Rows whose hash is too large to be among them are left out first, so three times the limit meet in the last task,
     not the limit of each task.
     """
-    bound = min(-(1 << 63) + (1 << 64) * 3 * (limit + 30) // max(rows, 1), (1 << 63) - 1)
-    return df.where(F.col(order) <= bound).orderBy(order, *ties).limit(limit)
+    return df.where(F.col(order) <= _bound(limit, rows)).orderBy(order, *ties).limit(limit)
+
+
+def _bound(limit: int, rows: int) -> int:
+    return min(-(1 << 63) + (1 << 64) * 3 * (limit + 30) // max(rows, 1), (1 << 63) - 1)
+
+
+def lowest_hashes_by(df: DataFrame, group: str, order: str, limit: int, rows: dict[str, int], *ties: str) -> DataFrame:
+    """``lowest_hashes`` of every value of ``group``, whose numbers of rows are given, in one pass for all."""
+    bounds = df.sparkSession.createDataFrame([(g, _bound(limit, n)) for g, n in rows.items()], f"{group} string, _bound bigint")
+    some = df.join(F.broadcast(bounds), group).where(F.col(order) <= F.col("_bound"))
+    nth = F.row_number().over(Window.partitionBy(group).orderBy(order, *ties))
+    return some.withColumn("_nth", nth).where(F.col("_nth") <= limit).select(df.columns)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

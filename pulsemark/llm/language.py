@@ -7,9 +7,10 @@ Chains run over the words that hold a letter and are cut after ``CHAIN`` words;
 through the forward and backward pass side by side. A text's language is the one that its words' marginals favour most,
 its score their mean.
 
-Weights and transitions are learned by gradient ascent on the likelihood over at most ``per_language`` texts of each of
-the ``languages`` most frequent languages, taken in hash order, every word carrying its text's language; the passes over
-them are Spark tasks that return the gradient of their part, and the driver holds weights only.
+Weights and transitions are learned by gradient ascent on the likelihood over at most ``per_language`` texts of every
+language that occurs, taken in hash order, every word carrying its text's language; the passes over them are Spark tasks
+that return the gradient of their part in blocks of features, which Spark sums, and the driver holds weights only. Chains
+are scored ``CELLS`` words times languages at a time. The weights take 0.26 MB per language in each worker.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; rows without a language teach nothing;
 without any, every text is ``und``. Equal marginals go to the first language by name. Ids may be null or repeated and
@@ -27,13 +28,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as tx
-from .columns import lowest_hashes, stored
+from .columns import lowest_hashes_by, stored
+from .lm import _summed
 
 BITS = 15
 BUCKETS = 1 << BITS
 CHAIN = 64
 PER_LANGUAGE = 400
-LANGUAGES = 64
+CELLS = 1 << 21
+BLOCK_BYTES = 1 << 20
+LABELS = 16  # languages whose trigram weights are gathered at a time
 ROUNDS = 12
 _AFFIXES = 6
 
@@ -104,12 +108,28 @@ def emissions(own: Chains, model: Model) -> np.ndarray:
     for j in range(1, own.rest.shape[1]):
         out += model.rest[own.rest[:, j]]
     at, word = _gram_words(own)
-    weights = model.grams[own.grams[at]]
-    for label in range(out.shape[1]):
-        out[:, label] += np.bincount(word, weights[:, label], len(out))
+    for label in range(0, out.shape[1], LABELS):
+        weights = model.grams[own.grams[at], label:label + LABELS]
+        for j in range(weights.shape[1]):
+            out[:, label + j] += np.bincount(word, weights[:, j], len(out))
     return out
 
 
+def _limit(k: int) -> int:
+    """Bytes of text at a time: rows times languages are held for them."""
+    return max(tx.SLICE_BYTES * 64 // max(k, 64), 1)
+
+
+def pieces(own: Chains, k: int):
+    """The chains in groups of about ``CELLS`` words times languages, with the place of their words among all."""
+    step = max(1, CELLS // (CHAIN * k))
+    for at in range(0, own.shape[0], step):
+        to = min(at + step, own.shape[0])
+        a, b = np.searchsorted(own.place, [at * CHAIN, to * CHAIN]).tolist()
+        yield slice(a, b), Chains(own.row[a:b], own.grams, own.starts[a:b], own.lengths[a:b], own.rest[a:b],
+                                  own.place[a:b] - at * CHAIN, (to - at, CHAIN))
+
+
 def forward_backward(scores: np.ndarray, own: Chains, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Marginals of each word, expected transitions, and the log-likelihood's normaliser."""
     k = scores.shape[1]
@@ -144,77 +164,76 @@ def forward_backward(scores: np.ndarray, own: Chains, moves: np.ndarray) -> tupl
     return marginals / marginals.sum(1, keepdims=True), pairs, norm
 
 
-def _gradient(part: tx.Slice, label: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, int] | None:
+def _add_gradient(part: tx.Slice, label: np.ndarray, model: Model, slope: np.ndarray) -> int:
+    """Adds the gradient of a slice to ``slope``, rows of trigrams, of the rest and of transitions; returns its words."""
     own = chains(part)
     if own is None:
-        return None
+        return 0
     k = len(model.languages)
-    marginals, pairs, _ = forward_backward(emissions(own, model), own, model.moves)
-    truth = label[own.row]
-    error = -marginals
-    error[np.arange(len(truth)), truth] += 1
-    at, word = _gram_words(own)
-    grams, rest = np.zeros((BUCKETS, k)), np.zeros((BUCKETS, k))
-    buckets = own.grams[at]
-    for j in range(k):
-        grams[:, j] = np.bincount(buckets, error[word, j], BUCKETS)
-        for f in range(own.rest.shape[1]):
-            rest[:, j] += np.bincount(own.rest[:, f], error[:, j], BUCKETS)
-    moves = -pairs
-    inner = own.place[1:] % CHAIN != 0  # a word and the one before it, in one chain
-    np.add.at(moves, (truth[:-1][inner], truth[1:][inner]), 1)
-    return grams, rest, moves, len(truth)
-
-
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE,
-        languages: int = LANGUAGES, rounds: int = ROUNDS) -> Model:
+    for _, some in pieces(own, k):
+        marginals, pairs, _ = forward_backward(emissions(some, model), some, model.moves)
+        truth = label[some.row]
+        error = -marginals
+        error[np.arange(len(truth)), truth] += 1
+        at, word = _gram_words(some)
+        for buckets, which, base in ((some.grams[at], word, 0),
+                                     (some.rest.ravel(), np.repeat(np.arange(len(truth)), some.rest.shape[1]), BUCKETS)):
+            used, place = np.unique(buckets, return_inverse=True)
+            for j in range(k):
+                slope[base + used, j] += np.bincount(place, error[which, j], len(used))
+        moves = -pairs
+        inner = some.place[1:] % CHAIN != 0  # a word and the one before it, in one chain
+        np.add.at(moves, (truth[:-1][inner], truth[1:][inner]), 1)
+        slope[2 * BUCKETS:] += moves
+    return len(own.row)
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, rounds: int = ROUNDS) -> Model:
     """Learn from the ``text`` and the non-null ``lang`` of ``docs``."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    texts = {r["lang"]: r["count"] for r in most.collect()}
+    texts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     names = sorted(texts)
     k = len(names)
-    model = Model(names, np.zeros((BUCKETS, k), np.float32), np.zeros((BUCKETS, k), np.float32), np.zeros((k, k)))
+    weights = np.zeros((2 * BUCKETS + k, k), np.float32)
+    model = Model(names, weights[:BUCKETS], weights[BUCKETS:2 * BUCKETS], weights[2 * BUCKETS:])
     if k < 2:
         return model
     spark, hashed = docs.sparkSession, known.withColumn("order", F.xxhash64("text"))
-    parts = [lowest_hashes(hashed.where(F.col("lang") == n), "order", per_language, texts[n], "text") for n in names]
-    sample = parts[0]
-    for more in parts[1:]:
-        sample = sample.unionByName(more)
+    sample = lowest_hashes_by(hashed, "lang", "order", per_language, texts, "text")
     sample = stored(sample.repartition(max(2, min(16, k * 2)), "order"), "language-sample")
-    steps = [np.full_like(a, 1e-6, dtype=float) for a in (model.grams, model.rest, model.moves)]
+    rows = max(1, BLOCK_BYTES // (4 * k))  # of a block
+    steps = np.full(weights.shape, 1e-6)
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model)
 
         def ascend(batches, shared=shared):
             model = shared.value
             number = {n: i for i, n in enumerate(model.languages)}
-            sums: list | None = None
-            for part in tx.slices(batches):
-                label = np.array([number[n] for n in part.rows.column("lang").to_pylist()])
-                made = _gradient(part, label, model)
-                if made:
-                    sums = list(made) if sums is None else [a + b for a, b in zip(sums, made, strict=True)]
-            if sums:
-                blob = np.concatenate([s.ravel() for s in sums[:3]]).astype(np.float32).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([blob]), pa.array([sums[3]])], ["slope", "words"])
-
-        got = sample.select("text", "lang").mapInArrow(ascend, "slope binary, words bigint").toArrow()
+            slope, words = np.zeros((2 * BUCKETS + k, k), np.float32), 0
+            for part in tx.slices(batches, limit=_limit(k)):
+                words += _add_gradient(part, np.array([number[n] for n in part.rows.column("lang").to_pylist()]), model, slope)
+            if words:
+                yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([np.array([words], np.float32).tobytes()])], ["_group", "slope"])
+                for block in range(-(-len(slope) // rows)):
+                    own = slope[block * rows:(block + 1) * rows]
+                    if own.any():
+                        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([own.tobytes()])], ["_group", "slope"])
+
+        made = sample.select("text", "lang").mapInArrow(ascend, "_group bigint, slope binary")
+        made = made.repartition("_group").sortWithinPartitions("_group", "slope")
+        got = made.mapInArrow(_summed, "_group bigint, slope binary").toArrow()
         shared.unpersist()
-        words = sum(got.column("words").to_pylist())
-        if not words:
+        slopes = dict(zip(got.column("_group").to_pylist(), (np.frombuffer(b.as_buffer(), np.float32) for b in got.column("slope")), strict=True))
+        if -1 not in slopes:
             return model
-        slope = np.sum([np.frombuffer(b, np.float32) for b in sorted(got.column("slope").to_pylist())], axis=0, dtype=float) / words
-        shapes = [(BUCKETS, k), (BUCKETS, k), (k, k)]
-        cuts = np.split(slope, np.cumsum([a * b for a, b in shapes])[:-1])
-        new = []
-        for weight, step, cut, shape, rate in zip(model[1:], steps, cuts, shapes, (0.3, 0.3, 0.5), strict=True):
-            cut = cut.reshape(shape)
-            step += cut * cut
-            new.append((weight + rate * cut / np.sqrt(step)).astype(weight.dtype))
-        model = Model(names, *new)
+        words = float(slopes.pop(-1)[0])
+        for block, slope in slopes.items():
+            part = slice(block * rows, min((block + 1) * rows, len(weights)))
+            cut = slope.reshape(-1, k).astype(float) / words
+            steps[part] += cut * cut
+            rate = np.where(np.arange(part.start, part.stop) < 2 * BUCKETS, 0.3, 0.5)[:, None]
+            weights[part] += rate * cut / np.sqrt(steps[part])
     return model
 
 
@@ -224,8 +243,12 @@ def label_rows(part: tx.Slice, model: Model) -> tuple[np.ndarray, np.ndarray]:
     own = chains(part) if model.languages else None
     if own is None:
         return best, score
-    marginals, _, _ = forward_backward(emissions(own, model), own, model.moves)
-    sums = np.stack([np.bincount(own.row, marginals[:, j], len(best)) for j in range(len(model.languages))], 1)
+    sums = np.zeros((len(best), len(model.languages)))
+    for _, some in pieces(own, len(model.languages)):
+        marginals, _, _ = forward_backward(emissions(some, model), some, model.moves)
+        low, high = some.row[0], some.row[-1] + 1
+        for j in range(len(model.languages)):
+            sums[low:high, j] += np.bincount(some.row - low, marginals[:, j], high - low)
     n = np.bincount(own.row, minlength=len(best))
     best = np.where(n > 0, sums.argmax(1), -1)
     return best, np.where(n > 0, np.clip(sums.max(1) / np.maximum(n, 1), 0, 1), 0.0)
@@ -239,7 +262,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", to: str = "lang_p
     def predicted(batches):
         model = shared.value
         names = np.array([*model.languages, "und"], dtype=object)
-        for part in tx.slices(batches, text):
+        for part in tx.slices(batches, text, _limit(len(model.languages))):
             best, value = label_rows(part, model)
             yield pa.RecordBatch.from_arrays([*part.rows.columns, pa.array(names[best], pa.string()), pa.array(value)],
                                              [*part.rows.schema.names, to, score])
@@ -262,16 +285,18 @@ def words(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             own = chains(part) if model.languages else None
             if own is None:
                 continue
-            marginals, _, _ = forward_backward(emissions(own, model), own, model.moves)
+            best, value = np.zeros(len(own.row), np.int64), np.zeros(len(own.row))
+            for at, some in pieces(own, len(model.languages)):
+                marginals, _, _ = forward_backward(emissions(some, model), some, model.moves)
+                best[at], value[at] = marginals.argmax(1), marginals.max(1)
             found = tx.words(part.data, part.offsets)
             end = found.ends[np.searchsorted(found.starts, own.starts)]
             raw = part.data.tobytes()
             made = [raw[s:e].decode("utf-8", "replace") for s, e in zip(own.starts.tolist(), end.tolist(), strict=True)]
             nth = np.searchsorted(found.starts, own.starts) - found.first[own.row]
-            best = marginals.argmax(1)
             yield pa.RecordBatch.from_arrays([
                 part.rows.column("id").take(pa.array(own.row)), pa.array(nth), pa.array(made),
-                pa.array([model.languages[b] for b in best]), pa.array(marginals[np.arange(len(best)), best]),
+                pa.array([model.languages[b] for b in best]), pa.array(value),
             ], ["id", "nth", "word", "lang_pred", "score"])
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from pulsemark.llm import language, lm, quality, toxicity
-from pulsemark.llm.columns import fold, lowest_hashes, table
+from pulsemark.llm.columns import fold, lowest_hashes, lowest_hashes_by, table
 
 DATA = "/root/testdata/sf0.01"
 
@@ -49,6 +49,35 @@ def test_language_on_held_out_texts(spark):
     assert len({r["lang_pred"] for r in language.words(mixed, model).collect()}) > 1
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """More than 64, the rarest of few texts, also in many small pieces and blocks."""
+    rng = random.Random(12)
+    own = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 8))) for _ in range(12)] for _ in range(80)]
+    docs = [(d, " ".join(rng.choice(own[lang]) for _ in range(rng.choice([10, 70, 150]))), f"l{lang:02}")
+            for d, lang in enumerate(x for x in range(80) for _ in range(9 if x < 70 else 5))]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").repartition(3)
+    for cells, block in ((language.CELLS, language.BLOCK_BYTES), (80 * 64 * 5, 1 << 18)):
+        monkeypatch.setattr(language, "CELLS", cells)
+        monkeypatch.setattr(language, "BLOCK_BYTES", block)
+        model = language.fit(frame, per_language=4, rounds=3)
+        assert model.languages == [f"l{i:02}" for i in range(80)]
+        rows = language.predict(frame, model).collect()
+        assert len(rows) == len(docs)
+        for rare in (False, True):
+            some = [r for r in rows if (r["lang"] >= "l64") == rare]
+            assert sum(r["lang_pred"] == r["lang"] for r in some) / len(some) > 0.95
+
+
+def test_lowest_hashes_by_group_are_those_of_each(spark):
+    rows = spark.range(5000).select("id", F.concat(F.lit("g"), F.col("id") % 7 % 4).alias("g"), F.xxhash64("id").alias("h"))
+    sizes = {r["g"]: r["count"] for r in rows.groupBy("g").count().collect()}
+    for limit in (50, 2000):
+        got = lowest_hashes_by(rows, "g", "h", limit, sizes, "id")
+        assert got.columns == rows.columns
+        want = {r["id"] for g, n in sizes.items() for r in lowest_hashes(rows.where(F.col("g") == g), "h", limit, n, "id").collect()}
+        assert {r["id"] for r in got.collect()} == want
+
+
 def test_lowest_hashes_are_those_of_a_full_sort(spark):
     rows = spark.range(5000).select("id", F.xxhash64("id").alias("h"))
     want = [r["id"] for r in rows.orderBy("h").limit(200).collect()]
