@@ -5,8 +5,10 @@ often as it occurs. For every item length, each window of that many words is a c
 shingles of any item to be similar are passed over: a table of bits, as large for any number of items, tells which
 shingles may belong to one, and similarity S needs S of them at the least. The rest get a fingerprint of 64 bits, and
 every item within ``RADIUS`` bits is found: fingerprints are cut into ``PIECES`` of 8 bits, of which one must agree but
-for one bit if ``RADIUS`` bits differ in all, so an item is indexed under every piece and its one-bit neighbours. Found
-pairs are verified by their weighted Jaccard similarity, and the best window of each document and item is kept.
+for one bit if ``RADIUS`` bits differ in all, so an item is indexed under every piece and its one-bit neighbours. Pairs
+near ``SIMILARITY`` may differ in more bits, so a window is also paired with every item of its size of which it holds one
+of the rarest shingles: so many that a similar window cannot lack them all. Found pairs are verified by their weighted
+Jaccard similarity, and the best window of each document and item is kept; none that is similar enough is missed.
 
 A document of fewer words than an item is one window as a whole: a copy of the item that lost some words. As it may have
 a fifth fewer shingles, fingerprints do not decide; the shingles it shares with each longer item are counted instead.
@@ -53,6 +55,7 @@ class Index(NamedTuple):
     posted: np.ndarray  # the shingles of all items in order,
     owner: np.ndarray  # the item of each,
     times: np.ndarray  # and how often it occurs there
+    rare: dict[int, tuple[np.ndarray, np.ndarray]]  # by size in words: the rarest shingles of its items in order, and the item of each
 
 
 def fingerprint(shingles: np.ndarray) -> int:
@@ -110,9 +113,25 @@ def build(ids: list, texts: list[str | None]) -> Index:
     sizes = [len(s) for s in sets]
     weights = np.concatenate([*weights, np.zeros(0, np.int64)]).astype(np.int64)
     by = np.argsort(flat, kind="stable")
+    held = np.searchsorted(flat[by], flat, "right") - np.searchsorted(flat[by], flat)  # items that hold it
+    ends = np.cumsum(sizes)
+    picked: dict[int, list] = {}
+    for i, end in enumerate(ends.tolist()):
+        own = slice(end - sizes[i], end)
+        rarest = np.lexsort((flat[own], held[own]))
+        # of n shingles, windows of n more share 2 n S / (1 + S) at the least
+        n = int(weights[own].sum())
+        missing = n - int(np.ceil(2 * n * SIMILARITY / (1 + SIMILARITY) - 1e-9))
+        few = rarest[:int(np.searchsorted(np.cumsum(weights[own][rarest]), missing + 1)) + 1]
+        picked.setdefault(words[i], []).append((flat[own][few], np.full(len(few), i)))
+    rare = {}
+    for size, parts in picked.items():
+        shingles, items_of = (np.concatenate(x) for x in zip(*parts, strict=True))
+        by_shingle = np.argsort(shingles, kind="stable")
+        rare[size] = shingles[by_shingle], items_of[by_shingle]
     return Index(kept, np.array(words, np.int64), prints, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), flat, weights, table,
                  heads, items[order].astype(np.int64), flat[by], np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[by],
-                 weights[by].astype(np.int32))
+                 weights[by].astype(np.int32), rare)
 
 
 def near_items(index: Index, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,6 +149,21 @@ def near_items(index: Index, prints: np.ndarray, size: int) -> tuple[np.ndarray,
     return pairs // max(len(index.ids), 1), pairs % max(len(index.ids), 1)
 
 
+def sharing_items(index: Index, made: np.ndarray, place: np.ndarray, span: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(window, item) of every item of ``size`` words of whose rarest shingles made[place:place + span] holds one, each once."""
+    shingles, items = index.rare.get(size, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    low, high = (np.searchsorted(shingles, made, side) for side in ("left", "right"))
+    spots = np.flatnonzero(high > low)
+    n = (high - low)[spots]
+    spot = np.repeat(spots, n)
+    item = items[np.arange(n.sum()) + np.repeat(low[spots] - np.cumsum(n) + n, n)]
+    low, high = np.searchsorted(place, spot - span + 1), np.searchsorted(place, spot, "right")
+    n = high - low
+    window = np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
+    pairs = np.unique(window * max(len(index.ids), 1) + np.repeat(item, n))
+    return pairs // max(len(index.ids), 1), pairs % max(len(index.ids), 1)
+
+
 def similarity(index: Index, item: int, window: np.ndarray) -> float:
     """Weighted Jaccard: the smaller weight of each shingle against the larger."""
     own, times = np.unique(window, return_counts=True)
@@ -182,7 +216,8 @@ def matches(index: Index, part: tx.Slice) -> list[tuple[int, int, int, int, floa
             np.add.at(need, starts + span, -1)
             used = np.flatnonzero(np.cumsum(need)[:-1])
             place = np.searchsorted(used, starts)
-            window, item = near_items(index, windows_prints(made[used], place, span), size)
+            near = near_items(index, windows_prints(made[used], place, span), size)
+            window, item = np.unique(np.concatenate([near, sharing_items(index, made[used], place, span, size)], axis=1), axis=1)
             for w, i in zip(window.tolist(), item.tolist(), strict=True):
                 at = int(starts[w])
                 s = similarity(index, i, made[at:at + span])

@@ -252,6 +252,31 @@ def test_every_fingerprint_within_the_radius_is_found():
     assert {(i, i) for i in range(50)} <= set(zip(window.tolist(), item.tolist()))
 
 
+def test_no_window_near_the_least_similarity_is_missed():
+    """Whatever its fingerprint: some of these differ from their item's by more than the radius."""
+    rng = random.Random(13)
+    texts = [[f"q{rng.randrange(5000)}" for _ in range(49)] for _ in range(120)]
+    index = contamination.build(list(range(len(texts))), [" ".join(t) for t in texts])
+    docs = []
+    for t in texts * 5:
+        changed = list(t)
+        changed[rng.choice([0, 1, 47, 48])] = "other"  # few shingles hold it
+        changed[rng.choice([2, 3, 45, 46])] = "another"
+        docs.append(" ".join(changed))
+    batch = contamination.pa.RecordBatch.from_arrays([contamination.pa.array(docs)], ["text"])
+    far, got = 0, {}
+    at = 0
+    for part in contamination.tx.slices(iter([batch])):
+        got |= {(at + r, i): s for r, i, _, _, s in contamination.matches(index, part)}
+        at += part.rows.num_rows
+    want = {}
+    for d, text in enumerate(docs):
+        want |= {(d, d % 120): s for s in brute_matches([(0, text)], [(0, " ".join(texts[d % 120]))]).values()}
+        print_ = contamination.build([0], [text]).prints[0]
+        far += (d, d % 120) in want and int(np.bitwise_count(print_ ^ index.prints[d % 120])) > contamination.RADIUS
+    assert far and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_contamination_of_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, "same text twice", 3), (None, None, 4), (3, "w1x w2x w3x w4x w5x w6x", 5)],
                                   "item_id bigint, text string, row int")
