@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, contamination, language, lm, minhash, mixing, pii, quality, suffixes, toxicity
+from . import caps, contamination, language, lm, minhash, mixing, pii, quality, suffixes, toxicity, whitening
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op5_caps(spark, folder):
 @query("op4_suffixes")
 def op4_suffixes(spark, folder):
     return suffixes.trim(table(spark, folder, "documents"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
