@@ -20,6 +20,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def canonical(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)]
+    # DuckDB hands out whole numbers with nulls as Int64, Spark as float64
+    frame = frame.astype({name: "float64" for name, kind in frame.dtypes.items() if str(kind) == "Int64" and frame[name].hasnans})
     return frame.sort_values(list(frame.columns), ignore_index=True)
 
 
