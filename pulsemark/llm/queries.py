@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, contamination, language, lm, minhash, mixing, pii, quality, suffixes, toxicity, whitening
+from . import caps, contamination, language, lm, minhash, mixing, pii, prefixes, quality, suffixes, toxicity, whitening
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,55 @@ def op4_suffixes(spark, folder):
 @query("op13_whitening")
 def op13_whitening(spark, folder):
     return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+PREFIXES_SQL = """
+WITH RECURSIVE turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, strlen(coalesce(text, '')) AS size,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), ordered AS (
+  SELECT c, list({'role': role, 'text': text, 'size': size} ORDER BY turn NULLS FIRST, id, size) AS own FROM turns GROUP BY c
+), bits(n, k, v) AS (
+  SELECT i, 0, i FROM range(256) AS r(i)
+  UNION ALL
+  SELECT n, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+), crc(c, digits, k, v) AS (
+  SELECT c, c::VARCHAR, 0::BIGINT, 4294967295::BIGINT FROM ordered
+  UNION ALL
+  SELECT c, digits, crc.k + 1, xor(crc.v >> 8, bits.v) FROM crc JOIN bits
+  ON bits.k = 8 AND bits.n = xor(crc.v & 255, ascii(digits[crc.k + 1])::BIGINT) WHERE crc.k < length(digits)
+), heads AS (
+  SELECT c, xor(v, 4294967295) % 9 AS h FROM crc WHERE k = length(digits)
+), convs AS (
+  SELECT o.c, coalesce(b.own, [])[1:h] || o.own[h + 1:] AS path
+  FROM ordered o JOIN heads USING (c) LEFT JOIN ordered b ON b.c = o.c - o.c % 5
+), prefixes AS (
+  SELECT c, d, path[1:d] AS path, path[1:d - 1] AS parent, len(path) = d AS ends
+  FROM (SELECT c, path, unnest(range(len(path) + 1)) AS d FROM convs)
+), nodes AS (
+  SELECT path, d, any_value(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce((count(*) - 1) * path[d].size, 0) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY path, d
+), children AS (
+  SELECT parent AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent
+), known AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)
+), below AS (
+  SELECT path[1:k] AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT path, n_children, saved, unnest(range(d + 1)) AS k FROM known) GROUP BY path[1:k]
+)
+SELECT k.conv_id, k.d::BIGINT AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, k.ends_sha256
+FROM known k JOIN below USING (path) LEFT JOIN nodes p ON k.d > 0 AND p.path = k.parent
+"""
+
+
+@query("op11_prefixes", PREFIXES_SQL)
+def op11_prefixes(spark, folder):
+    """Conversations rebuilt on the first turns of every fifth one, then their tree."""
+    turns = prefixes.numbered(table(spark, folder, "conversations"))
+    conv = F.col("conv")
+    heads = F.crc32(conv.cast("string").cast("binary")) % 9
+    return prefixes.tree(*prefixes.rebuilt(turns, conv - conv % 5, heads, most=8))

@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import oracle
+from pulsemark.llm import prefixes, queries
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+def brute(rows, base=lambda c: c - c % 5, heads=lambda c: zlib.crc32(str(c).encode()) % 9):
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            tie = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            convs.setdefault(c, []).append(((turn is not None, turn or 0), tie, role, text))
+    own = {c: [t[2:] for t in sorted(v)] for c, v in convs.items()}
+    made = {c: tuple(own.get(base(c), [])[:heads(c)] + own[c][heads(c):]) for c in own}
+    nodes = {}
+    for c, path in made.items():
+        for d in range(len(path) + 1):
+            nodes.setdefault(path[:d], []).append(c)
+    kids, leaves, saved = ({p: 0 for p in nodes} for _ in range(3))
+    for p in nodes:
+        if p:
+            kids[p[:-1]] += 1
+    for p, members in nodes.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += kids[p] == 0
+            saved[p[:d]] += (len(members) - 1) * len(p[-1][1].encode()) if p else 0
+    return sorted(
+        (min(m), len(p), -1 if not p else min(nodes[p[:-1]]), len(m), kids[p], leaves[p], saved[p],
+         hashlib.sha256(",".join(str(c) for c in sorted(m) if len(made[c]) == len(p)).encode()).hexdigest())
+        for p, m in nodes.items())
+
+
+def found(df):
+    return sorted(tuple(-1 if v is None else v for v in r) for r in df.collect())
+
+
+def whole(spark, rows, width=prefixes.BLOCK, schema=SCHEMA):
+    turns = prefixes.numbered(spark.createDataFrame(rows, schema))
+    conv = F.col("conv")
+    heads = F.crc32(conv.cast("string").cast("binary")) % 9
+    return prefixes.tree(*prefixes.rebuilt(turns, conv - conv % 5, heads, most=8), width)
+
+
+def conversations(seed, n=90, most=14):
+    rng = random.Random(seed)
+    out = []
+    for c in range(n):
+        if rng.random() < 0.1:
+            continue
+        shared = rng.randrange(3)
+        for t in range(rng.randrange(0, most)):
+            text = f"s{shared} t{t}" if rng.random() < 0.8 else rng.choice(["é", "x", "", "longer text"])
+            out.append((c, t if rng.random() < 0.95 else None, rng.choice(["user", "user", "bot"]), text))
+    return out
+
+
+@pytest.mark.parametrize("width", [2, 8])
+def test_tree_agrees_with_all_prefixes(spark, width):
+    rows = conversations(width)
+    assert found(whole(spark, rows, width)) == brute(rows)
+
+
+def test_long_conversations_cross_blocks_and_pieces(spark, monkeypatch):
+    """Pieces and chunks far smaller than the conversations."""
+    monkeypatch.setattr(prefixes, "PIECE", 8)
+    monkeypatch.setattr(prefixes, "CHUNK", 3)
+    rows = [(c, t, "user", f"t{t}" if t < 30 + c else f"t{t} of {c}") for c in range(12) for t in range(70 if c % 3 else 45)]
+    rows += [(c, t, "user", f"t{t}") for c in range(20, 60) for t in range(33)]  # copies
+    assert found(whole(spark, rows, 4)) == brute(rows)
+
+
+def test_wide_node_and_odd_rows(spark):
+    rows = [(c, 0, "user", f"first {c}") for c in range(10, 400)] + [(c, 1, None, None) for c in range(10, 200)]
+    rows += [(None, 0, "user", "x"), (None, None, None, None), (3, None, None, None), (3, None, None, None), (3, 2, "bot", "y"),
+             (-7, 0, "user", "minus"), (-5, 0, "user", "base"), (4, 5, "a:b", "c"), (5, 5, "a", ":bc")]
+    rows += [(6, 1, "user", "w " * 40_000)]
+    want = [r for r in rows if r[0] is None or r[0] >= 0]
+    assert found(whole(spark, want)) == brute(want)
+    # remainders of negative ids take the sign of the id, as in SQL
+    trunc = lambda c: c - (abs(c) % 5) * (1 if c > 0 else -1)
+    assert found(whole(spark, rows)) == brute(rows, base=trunc)
+
+
+def test_extra_columns_and_empty_table(spark):
+    rows = [(c, t, "user", f"{t}", c, t, "t", 1, b"x") for c in range(6) for t in range(4)]
+    schema = SCHEMA + ", conv bigint, pos bigint, part string, row int, t binary"
+    assert found(whole(spark, rows, schema=schema)) == brute([r[:4] for r in rows])
+    assert whole(spark, [], schema=SCHEMA).count() == 0
+
+
+def test_turns_of_one_conversation_are_numbered_in_ranges(spark):
+    rows = [(1, i // 3, "user", f"{i % 3}") for i in range(3000)] + [(2, 0, "user", "x")]
+    got = prefixes.numbered(spark.createDataFrame(rows, SCHEMA).repartition(9)).collect()
+    assert sorted(r["pos"] for r in got if r["conv"] == 1) == list(range(1, 3001))
+
+
+def test_query_on_small_table(spark):
+    folder = "/root/testdata/sf0.001"
+    con = oracle.connect(folder)
+    got = queries.QUERIES["op11_prefixes"](spark, folder).toPandas()
+    assert oracle.difference(got, con.execute(queries.SQL["op11_prefixes"]).df()) is None
+    rows = con.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
+    assert [tuple(-1 if v != v else v for v in r) for r in sorted(got.fillna(-1).itertuples(index=False, name=None))] == brute(rows)
