@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, contamination, language, lm, minhash, mixing, pii, prefixes, quality, suffixes, toxicity, whitening
+from . import caps, contamination, language, lm, minhash, mixing, pieces, pii, prefixes, quality, suffixes, toxicity, whitening
 from .columns import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +146,10 @@ def op11_prefixes(spark, folder):
     conv = F.col("conv")
     heads = F.crc32(conv.cast("string").cast("binary")) % 9
     return prefixes.tree(*prefixes.rebuilt(turns, conv - conv % 5, heads, most=8))
+
+
+@query("op12_pieces")
+def op12_pieces(spark, folder):
+    made = pieces.encoded(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return made.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
