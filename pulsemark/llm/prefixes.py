@@ -59,7 +59,7 @@ def numbered(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     before = F.sum("count").over(Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select("conv", "part", F.coalesce(before, F.lit(0)).alias("before"))
     nth = F.row_number().over(Window.partitionBy("conv", "part").orderBy(*order))
-    return dealt.join(counts, ["conv", "part"]).select("conv", (F.col("before") + nth).alias("pos"), "t")
+    return stored(dealt.join(counts, ["conv", "part"]).select("conv", (F.col("before") + nth).alias("pos"), "t"), "turns-numbered")
 
 
 def rebuilt(turns: DataFrame, base: Column, heads: Column, most: int) -> tuple[DataFrame, DataFrame]:
@@ -193,21 +193,19 @@ def _owned(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return made, totals
 
 
-def _with_parents(nodes: DataFrame, rows: int) -> DataFrame:
-    """Adds ``parent_conv_id``. Below an owner's first node the parent is its own; first nodes look theirs up.
+def _parents(nodes: DataFrame, rows: int) -> DataFrame:
+    """(depth, x, y, parent) of the nodes that are the first of their owner's; below those the parent is the owner's own.
 
     A parent of very many children would be one task's work, so the at most 1,024 parents that have more than a
     1,024th of all nodes as children are broadcast.
     """
     first = nodes.where("depth = begin and depth > 0").select(
         *KEY, F.struct((F.col("depth") - 1).alias("depth"), F.col("px").alias("x"), F.col("py").alias("y")).alias("p"))
-    parents = nodes.where("n_children > 0").select(F.struct(*KEY).alias("p"), F.col("conv_id").alias("of"), "n_children")
+    parents = nodes.where("n_children > 0").select(F.struct(*KEY).alias("p"), F.col("conv_id").alias("parent"), "n_children")
     wide = F.col("n_children") > max(rows // 1024, 1)
     by_wide = first.join(F.broadcast(parents.where(wide).drop("n_children")), "p", "left")
-    by_other = by_wide.where("of is null").drop("of").join(parents.where(~wide).drop("n_children"), "p")
-    found = by_wide.where("of is not null").unionByName(by_other).select(*KEY, F.col("of").alias("_parent"))
-    parent = F.when(F.col("depth") == F.col("begin"), F.col("_parent")).otherwise(F.col("conv_id"))
-    return nodes.join(found, KEY, "left").withColumn("parent_conv_id", parent)
+    by_other = by_wide.where("parent is null").drop("parent").join(parents.where(~wide).drop("n_children"), "p")
+    return by_wide.where("parent is not null").unionByName(by_other).drop("p")
 
 
 def tree(turns: DataFrame, lengths: DataFrame, width: int = BLOCK) -> DataFrame:
@@ -236,9 +234,10 @@ def tree(turns: DataFrame, lengths: DataFrame, width: int = BLOCK) -> DataFrame:
     ends = made.select("conv", "piece", "block", "x", "y").join(
         lengths.select("conv", "length", F.floor(last * width / PIECE).alias("piece"), last.alias("block")), ["conv", "piece", "block"]).select(
         F.col("length").alias("depth"), "x", "y", "conv")
-    out = owned.join(members, KEY).join(_hashed_lists(ends), KEY, "left")
-    return _with_parents(out, owned.count()).select(
-        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children",
+    parent = F.when(F.col("depth") == F.col("begin"), F.col("parent")).otherwise(F.col("conv_id"))
+    # one row per node on every side
+    return owned.join(members, KEY).join(_hashed_lists(ends), KEY, "left").join(_parents(owned, owned.count()), KEY, "left").select(
+        "conv_id", "depth", parent.alias("parent_conv_id"), "n_convs", "n_children",
         (F.col("own_leaves") + F.col("member_leaves") - F.col("all_leaves")).alias("n_leaves"),
         (F.col("own_saved") + F.col("member_saved") - F.col("all_saved")).alias("saved_tokens"),
         F.coalesce("ends_sha256", F.lit(hashlib.sha256().hexdigest())).alias("ends_sha256"))
