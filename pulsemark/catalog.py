@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions.hashing import id_position
 from .operators import counts, distinct, enrich, lateness, parse, patterns, topn
+from .plans import merging
 from .sources import events as source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,6 +277,20 @@ def uv_running_by_minute(spark, folder):
     return distinct.running_distinct(_views(spark, folder), "user_id", grain="1 minute")
 
 
+@query("sliding_uv_5s", f"""SELECT ((epoch_us(ts) // 1000) // 5000 + 1 + i) * 5000 AS window_end,
+ count(DISTINCT user_id) AS count FROM {VIEWS} e, generate_series(0, {HOUR // 5000 - 1}) g(i) GROUP BY ALL""")
+def sliding_uv_5s(spark, folder):
+    """Distinct users of every hour, sliding by five seconds, by merged sketches (exact as long as they are small)."""
+    return merging.sliding_distinct(_views(spark, folder), "user_id")
+
+
+@query("sliding_largest_5s", f"""SELECT item_id, ((epoch_us(ts) // 1000) // 5000 + 1 + i) * 5000 AS window_end,
+ max(user_id) AS largest FROM {VIEWS} e, generate_series(0, {HOUR // 5000 - 1}) g(i) GROUP BY ALL""")
+def sliding_largest_5s(spark, folder):
+    """An aggregate that cannot be subtracted: the largest user of every item in every hour, sliding by five seconds."""
+    return merging.sliding_largest(_views(spark, folder), "user_id", keys=["item_id"])
+
+
 # --- patterns ----------------------------------------------------------------------
 
 H6, H12 = 6 * HOUR * 1000, 12 * HOUR * 1000

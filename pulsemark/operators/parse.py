@@ -27,20 +27,32 @@ def _field(parts: Column, position: int, quarantine: bool) -> Column:
     return F.trim(F.get(parts, position) if quarantine else parts[position])
 
 
+def _once(lines: DataFrame, **columns: Column) -> DataFrame:
+    """``columns`` alone, each worked out once per row however often fields, flag and filters name it: the optimizer copies
+    an expression into its uses, but not through a generator."""
+    return lines.select(F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def _raw_parts(lines: DataFrame, column: str, separator: str) -> DataFrame:
+    return _once(_once(lines, raw=F.col(column)), raw=F.col("raw"), _parts=F.split("raw", separator))
+
+
 def _flagged(rows: DataFrame, fields: list[str]) -> DataFrame:
     return rows.withColumn("is_bad", reduce(or_, [F.col(name).isNull() for name in fields]))
 
 
 def behavior_rows(lines: DataFrame, column: str = "value", quarantine: bool = False) -> DataFrame:
     """``userId,itemId,categoryId,behavior,timestamp`` lines to behaviour rows."""
-    parts = F.split(F.col(column), ",")
+    if quarantine:
+        lines = _raw_parts(lines, column, ",")
+    parts = F.col("_parts") if quarantine else F.split(F.col(column), ",")
     fields = []
     for position, (name, kind) in enumerate(BEHAVIOR_FIELDS.items()):
         text = _field(parts, position, quarantine)
         fields.append((text.try_cast(kind) if quarantine else text.cast(kind)).alias(name))
     if not quarantine:
         return lines.select(*fields)
-    return _flagged(lines.select(*fields, F.col(column).alias("raw")), list(BEHAVIOR_FIELDS))
+    return _flagged(lines.select(*fields, "raw"), list(BEHAVIOR_FIELDS))
 
 
 def access_rows(lines: DataFrame, column: str = "value", quarantine: bool = False) -> DataFrame:
@@ -49,7 +61,9 @@ def access_rows(lines: DataFrame, column: str = "value", quarantine: bool = Fals
     ``event_time`` is in ms. The zone in the line is not read; times are UTC
     whatever the session's zone.
     """
-    parts = F.split(F.col(column), " ")
+    if quarantine:
+        lines = _raw_parts(lines, column, " ")
+    parts = F.col("_parts") if quarantine else F.split(F.col(column), " ")
     text = {name: _field(parts, i, quarantine) for name, i in LOG_FIELDS.items()}
     parse = F.try_to_timestamp if quarantine else F.to_timestamp
     to_format = f"{LOG_TIME_FORMAT} X"
@@ -60,7 +74,7 @@ def access_rows(lines: DataFrame, column: str = "value", quarantine: bool = Fals
     if not quarantine:
         return lines.select(*fields)
     names = ["ip", "user_id", "event_time", "method", "url"]
-    return _flagged(lines.select(*fields, F.col(column).alias("raw")), names)
+    return _flagged(lines.select(*fields, "raw"), names)
 
 
 def split_bad(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

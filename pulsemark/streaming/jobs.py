@@ -13,15 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.event_time import interval, micros
-from ..operators.patterns import CREATE, PAY, SUCCESS, TIMEOUT
 
 # Delay for a stream in time order: a millisecond, so that rows of the newest instant are not late.
 ASCENDING = "1 millisecond"
 
 # Settings a query needs while it is started (see session.session_conf).
-# With the default policy, min, the clock would stop when one of the two sides
-# falls silent; both sides come from one source, so the later one is right.
-ORDER_SETTINGS = {"spark.sql.streaming.multipleWatermarkPolicy": "max"}
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -133,32 +129,3 @@ def first_seen(stream: DataFrame, column: str, size="1 hour", delay=ASCENDING) -
         .dropDuplicates(["_w", column])
         .select(_end("_w"), column)
     )
-
-
-def order_results(orders: DataFrame, within="15 minutes", delay=ASCENDING) -> DataFrame:
-    """``success`` or ``timeout`` per created order (append mode).
-
-    An outer interval join: a create without a pay comes out when the watermark
-    has passed its last chance. Several pays give one ``success``. Start it
-    under ``ORDER_SETTINGS``. Columns: ``order_id, event_id, event_type, ts``.
-    """
-    creates = orders.where(F.col("event_type") == CREATE).select(
-        "order_id", F.col("event_id").alias("create_id"), F.col("ts").alias("create_ts")
-    ).withWatermark("create_ts", interval(delay))
-    pays = orders.where(F.col("event_type") == PAY).select(
-        F.col("order_id").alias("paid_id"), F.col("event_id").alias("pay_id"), F.col("ts").alias("pay_ts")
-    ).withWatermark("pay_ts", interval(delay))
-    follows = (
-        (F.col("order_id") == F.col("paid_id"))
-        & (F.col("pay_ts") >= F.col("create_ts"))
-        & (F.col("pay_ts") < F.col("create_ts") + F.expr(f"INTERVAL {interval(within)}"))
-        & ((F.col("pay_ts") > F.col("create_ts")) | (F.col("pay_id") > F.col("create_id")))
-    )
-    result = F.when(F.col("paid_id").isNull(), TIMEOUT).otherwise(SUCCESS)
-    return (
-        creates.join(pays, follows, "leftOuter")
-        # one event-time column only may go into the next stateful step
-        .select("order_id", "create_id", "create_ts", result.alias("event_type"))
-        .dropDuplicatesWithinWatermark(["create_id"])
-        .select("order_id", "create_id", "event_type")
-    )

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import contextlib
 import io
+import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -76,3 +80,16 @@ def test_patterns_shuffle_and_sort_once(spark, name):
 def test_entry(spark):
     assert entry(spark).columns == ["window_end", "rank", "item_id", "count"]
     assert entry(spark).count() > 0
+
+
+def test_the_rest_stands_without_the_training_data_operators(tmp_path):
+    """A copy without both folders, with and without the pipeline beside them, still imports and lists its queries."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for pipeline in (True, False):
+        there = tmp_path / str(pipeline)
+        shutil.copytree(os.path.join(here, "pulsemark"), there / "pulsemark", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        for name in ["__spark_entry__.py", *(["corpus_pipeline.py"] if pipeline else [])]:
+            shutil.copy(os.path.join(here, name), there / name)
+        code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+        made = subprocess.run([sys.executable, "-c", code], cwd=there, env={**os.environ, "PYTHONPATH": str(there)}, capture_output=True, text=True)
+        assert made.stdout.split() == [str(len(QUERIES)), str(len(SQL)), "False"], made.stderr

@@ -14,7 +14,7 @@ from pulsemark.functions.event_time import event_time
 from pulsemark.operators import counts, distinct, topn
 from pulsemark.plans.sliding import sliding_counts
 from pulsemark.session import session_conf
-from pulsemark.streaming import bursts, jobs, sinks
+from pulsemark.streaming import jobs, patterns, sinks
 
 FAR = BASE_MS + 86_400_000
 
@@ -161,14 +161,12 @@ def test_orders(spark, tmp_path):
     table.sort(key=lambda r: r[3])
     for i in range(0, len(table), 2):
         feed.add(table[i:i + 2])
-    # only new creates, no new pays: the later watermark must go on
+    # only new creates, no new pays
     feed.add([(9999, 99, "create", FAR)])
-    with session_conf(spark, jobs.ORDER_SETTINGS):
-        out, _ = feed.run(jobs.order_results(feed.stream("event_time")))
+    with session_conf(spark, jobs.STATE_SETTINGS):
+        out, _ = feed.run(patterns.order_results(feed.stream("event_time")))
     got = sorted((r.order_id, r.create_id, r.event_type) for r in out.collect())
     assert got == brute_orders(rows, 900_000)
-    # the setting is back at its default
-    assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "min"
 
 
 def test_split_writes_each_result_to_its_sink(spark, tmp_path):
@@ -192,7 +190,7 @@ def test_bursts(spark, tmp_path, members):
         feed.add(table[i:i + 40])
     feed.add([(9999, 99, "x", "fail", FAR)])
     with session_conf(spark, jobs.STATE_SETTINGS):
-        out, _ = feed.run(bursts.fail_bursts(feed.stream("event_time"), members=members))
+        out, _ = feed.run(patterns.fail_bursts(feed.stream("event_time"), members=members))
     expected = brute_bursts(rows, 2000, all_cut=members)
     if members:
         got = sorted((r.user_id, r.cut_us // 1000 - BASE_MS, r.size, r.event_id) for r in out.collect())
