@@ -92,7 +92,7 @@ URLS_SQL = _sliding(GETS, MINUTE, 5_000, "url")
  CASE event_type WHEN 'view' THEN 'pv' WHEN 'purchase' THEN 'buy' WHEN 'click' THEN 'cart' WHEN 'signup' THEN 'fav'
  ELSE event_type END AS behavior, (epoch_us(ts) // 1000) AS timestamp FROM events""")
 def parse_behavior_csv(spark, folder):
-    return parse.behavior_rows(source.behavior_lines(source.table(spark, folder)))
+    return parse.behavior_rows(source.behavior_lines(source.table(spark, folder)), missing=True)
 
 
 @query("parse_access_log", f"""SELECT '192.168.' || CAST(user_id % 256 AS VARCHAR) || '.' ||

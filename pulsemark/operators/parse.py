@@ -41,14 +41,19 @@ def _flagged(rows: DataFrame, fields: list[str]) -> DataFrame:
     return rows.withColumn("is_bad", reduce(or_, [F.col(name).isNull() for name in fields]))
 
 
-def behavior_rows(lines: DataFrame, column: str = "value", quarantine: bool = False) -> DataFrame:
-    """``userId,itemId,categoryId,behavior,timestamp`` lines to behaviour rows."""
+def behavior_rows(lines: DataFrame, column: str = "value", quarantine: bool = False, missing: bool = False) -> DataFrame:
+    """``userId,itemId,categoryId,behavior,timestamp`` lines to behaviour rows.
+
+    An empty field is malformed, unless ``missing``: then it is null.
+    """
     if quarantine:
         lines = _raw_parts(lines, column, ",")
     parts = F.col("_parts") if quarantine else F.split(F.col(column), ",")
     fields = []
     for position, (name, kind) in enumerate(BEHAVIOR_FIELDS.items()):
         text = _field(parts, position, quarantine)
+        if missing:
+            text = F.nullif(text, F.lit(""))
         fields.append((text.try_cast(kind) if quarantine else text.cast(kind)).alias(name))
     if not quarantine:
         return lines.select(*fields)

@@ -270,4 +270,4 @@ def land_raw_stream(spark, folder):
     path = scratch_dir(spark, "landed")
     lines = source.behavior_lines(_events(spark, folder).where("event_id >= 0"))
     sinks.run_available(sinks.land_raw(lines, f"{path}/out", "text"), f"{path}/checkpoint")
-    return parse.behavior_rows(read_lines(spark, f"{path}/out"))
+    return parse.behavior_rows(read_lines(spark, f"{path}/out"), missing=True)

@@ -9,6 +9,8 @@ import shutil
 import subprocess
 import sys
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import oracle
@@ -34,6 +36,18 @@ def plan_of(frame) -> str:
     return out.getvalue()
 
 
+@pytest.mark.parametrize("name", ["land_raw_stream", "parse_behavior_csv"])
+def test_events_without_a_time_are_landed(spark, tmp_path, name):
+    events = spark.read.parquet(f"{SMALL}/events.parquet").limit(500).toPandas()
+    events.loc[events["event_id"] % 10 == 0, "ts"] = None
+    kinds = pa.schema([("event_id", pa.int64()), ("ts", pa.timestamp("us")), ("user_id", pa.int64()), ("event_type", pa.string()),
+                       ("value", pa.float64()), ("props", pa.string())])
+    pq.write_table(pa.Table.from_pandas(events, schema=kinds, preserve_index=False), tmp_path / "events.parquet")
+    got = queries()[name](spark, str(tmp_path)).toPandas()
+    assert len(got) == 500 and got["timestamp"].isna().sum() == 50
+    assert oracle.difference(got, oracle.connect(str(tmp_path)).execute(SQL[name]).df()) is None
+
+
 def test_every_sql_has_a_query():
     assert set(QUERIES) == set(SQL)
     assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
