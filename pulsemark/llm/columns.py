@@ -34,6 +34,26 @@ def lowest_hashes_by(df: DataFrame, group: str, order: str, limit: int, rows: di
     return some.withColumn("_nth", nth).where(F.col("_nth") <= limit).select(df.columns)
 
 
+def labelled(docs: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+    """(_key, _label) of the ids in ``docs`` that ``labels`` knows to be 0 or 1; the larger label of an id that has both."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+        F.max(F.col(label).cast("int")).alias("_label"))
+    return known.join(docs.select(F.col(key).alias("_key")).distinct(), "_key", "left_semi")
+
+
+def sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_label: int) -> DataFrame:
+    """(_key, _label, text): a text for each of the ``per_label`` ids of every label with the smallest hashes.
+
+    Ids are taken from ``docs``, so a label of a text that is not there counts for nothing and takes no place. An id of
+    several texts gives that with the smallest hash.
+    """
+    known = labelled(docs, labels, key, label)
+    order = [F.xxhash64("_key"), F.col("_key")]
+    some = [known.where(F.col("_label") == v).orderBy(*order).limit(per_label) for v in (0, 1)]
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(some[0].unionByName(some[1])), "_key")
+    return rows.groupBy("_key", "_label").agg(F.min_by(F.struct("text"), F.xxhash64("text"))["text"].alias("text"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here, and a lost executor loses nothing."""
     path = scratch_dir(df.sparkSession, name)

@@ -269,7 +269,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without those that hold a benchmark item. A row without an id cannot be named and stays."""
-    own = fresh(docs, "_id")
-    found = contaminated(docs, benchmark, key, text).select(F.col(key).alias(own)).distinct()
-    return docs.join(found, docs[key] == found[own], "left_anti")
+    """``docs`` without the rows that hold a benchmark item, be their id shared with others or missing."""
+    own = fresh(docs, "_row")
+    keyed = docs.withColumn(own, F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(5), text).alias("b")))
+    found = contaminated(keyed, benchmark, own, text).select(own).distinct()
+    return keyed.join(found, own, "left_anti").drop(own)

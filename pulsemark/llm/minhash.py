@@ -330,9 +330,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group, of the smallest id. Rows without an id cannot be named and all stay."""
-    found = near_duplicates(docs, key, text, k, percent)
-    own = fresh(docs, "_id")
-    ids = found.where(F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias(own)).distinct()
-    stays = docs.join(ids, docs[key] == ids[own]).dropDuplicates([own]).drop(own)
-    return stays.unionByName(docs.where(F.col(key).isNull()))
+    """``docs`` with one row of each group: of the smallest id, a missing one last.
+
+    Rows are told apart by id and text, so texts that share an id, or have none, are judged each on its own. Of rows that
+    agree in both one stays, whatever else they hold. Rows without words are in no group and all stay.
+    """
+    own, words = fresh(docs, "_row"), fresh(docs, "_words")
+    keyed = docs.withColumn(own, F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("id"), F.xxhash64(key, text).alias("a"),
+                                          F.xxhash64(F.lit(5), text, key).alias("b")))
+    found = near_duplicates(keyed, own, text, k, percent).where("kept").select(own, (F.col("n_shingles") > 0).alias(words)).distinct()
+    stays = stored(keyed.join(found, own), "minhash-kept")
+    return stays.where(words).dropDuplicates([own]).unionByName(stays.where(~F.col(words))).drop(own, words)

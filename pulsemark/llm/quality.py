@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .columns import stored
+from .columns import labelled, sampled, stored
 
 PER_LABEL = 2000
 BINS = 12
@@ -113,18 +113,9 @@ def _learn(values: np.ndarray, labels: np.ndarray, train: np.ndarray, rounds: in
     return Model(edges, weights, float(bias), margins, np.maximum.accumulate(evidence))
 
 
-def _known(labels: DataFrame, key: str, label: str) -> DataFrame:
-    return labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
-        F.max(F.col(label).cast("int")).alias("_label"))
-
-
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
         per_label: int = PER_LABEL) -> Model:
-    known = _known(labels, key, label).withColumn("_order", F.xxhash64("_key"))
-    sample = known.where("_label = 1").orderBy("_order", "_key").limit(2 * per_label).unionByName(
-        known.where("_label = 0").orderBy("_order", "_key").limit(2 * per_label))
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(sample), "_key").select(
-        "text", "_label", "_order")
+    rows = sampled(docs, labels, key, text, label, 2 * per_label).select("text", "_label", F.xxhash64("_key").alias("_order"))
 
     def shaped(batches):
         for part in tx.slices(batches):
@@ -178,7 +169,7 @@ def _logit(p: Column) -> Column:
 def posteriors(docs: DataFrame, labels: DataFrame, model: Model, host: Column, path: Column, key: str = "doc_id",
                text: str = "text", label: str = "quality") -> DataFrame:
     """(key, host, path, evidence, host_rate, path_rate, score), one row per row of ``docs``."""
-    known = _known(labels, key, label)
+    known = labelled(docs, labels, key, label)
     share = known.agg(F.avg("_label"), F.count("*")).first()
     prior = float(np.clip(((share[0] or 0.0) * share[1] + 1) / (share[1] + 2), 1e-3, 1 - 1e-3))
     soft = 1 / (1 + F.exp(-(F.col("evidence") + float(np.log(prior / (1 - prior))))))

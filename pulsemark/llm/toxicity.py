@@ -3,7 +3,7 @@
 Features are the distinct n-grams of 4 to 7 bytes of the lower-cased whole text, hashed to ``BUCKETS``. A feature's
 value is its log-count ratio between the two labels, drawn towards 0 by ``ERRORS`` standard errors, so that n-grams
 seen by chance with one label drop out; a logistic regression weighs the rest. Both are learned on a sample of at most
-``per_label`` rows of each label, taken in hash order of the id. Its n-grams are counted by Spark, and the driver gets
+``per_label`` labelled texts of each label that are in the table learned from, taken in hash order of the id. Its n-grams are counted by Spark, and the driver gets
 one row per bucket at most. Scoring goes over every row where it lies, without a shuffle.
 
 Defined results: a null or empty text has no feature and gets the intercept's score; ids are returned as they are, null
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as tx
-from .columns import stored
+from .columns import sampled, stored
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -106,13 +106,8 @@ def _fit(row: np.ndarray, bucket: np.ndarray, labels: np.ndarray, ratio: np.ndar
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
         per_label: int = PER_LABEL, rounds: int = 150) -> Model:
     """Learn from ``docs`` whose ``key`` has a ``label`` of 0 or 1 in ``labels``."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
-        F.max(F.col(label).cast("int")).alias("_label"))
-    order = [F.xxhash64("_key"), F.col("_key")]
-    sample = known.where("_label = 1").orderBy(*order).limit(per_label).unionByName(
-        known.where("_label = 0").orderBy(*order).limit(per_label))
-    rows = stored(docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(sample), "_key")
-                  .select("text", "_label", F.xxhash64("_key", "text").alias("_row")), "toxicity-sample")
+    rows = stored(sampled(docs, labels, key, text, label, per_label).select("text", "_label", F.xxhash64("_key", "text").alias("_row")),
+                  "toxicity-sample")
 
     def counted(batches):
         for part in tx.slices(batches):

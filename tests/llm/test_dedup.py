@@ -101,6 +101,17 @@ def test_minhash_of_odd_rows(odd, none):
     assert minhash.near_duplicates(none).count() == 0 == minhash.deduplicated(none).count()
 
 
+def test_rows_that_share_an_id_are_judged_on_their_own(spark):
+    """Unrelated texts of one id both stay, whatever the order; of near copies without an id one stays."""
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, one, 0), (1, two, 1), (2, one + " end", 2), (None, two + " end", 3), (None, "x y", 4), (None, "x y", 5),
+            (3, None, 6), (3, None, 7), (3, "", 8), (1, one, 9)]
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, row int").repartition(parts)
+        kept = sorted((str(r["doc_id"]), str(r["text"])) for r in minhash.deduplicated(docs).select("doc_id", "text").collect())
+        assert kept == sorted([("1", one), ("1", two), ("None", "x y"), ("3", "None"), ("3", "None"), ("3", "")])
+
+
 def brute_links(rows, cosine=0.98):
     ok = [v is not None and lab is not None and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v, lab in rows]
     links = []

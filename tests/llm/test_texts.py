@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from pulsemark.llm import contamination, mixing, pii, toxicity
-from pulsemark.llm.columns import table
+from pulsemark.llm.columns import sampled, table
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -335,3 +335,23 @@ def test_pipeline_of_odd_rows(odd, none, spark, tmp_path, labels):
             docs = stage(spark, docs, str(tmp_path))
             assert docs.columns == odd.columns
             docs.count()
+
+
+def test_rows_are_cleaned_by_their_text_not_by_their_id(spark):
+    """A contaminated row goes without an id too; a clean one stays though its id is that of a contaminated one."""
+    item = " ".join(f"q{i}" for i in range(30))
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(1, f"before {item} after", "a"), (1, "a clean text of its own", "b"), (None, item, "c"), (None, "clean as well", "d"),
+            (None, None, "e"), (2, None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, a string").repartition(3)
+    got = contamination.clean(docs, benchmark)
+    assert got.columns == docs.columns and sorted(r["a"] for r in got.collect()) == ["b", "d", "e", "f"]
+
+
+def test_labels_of_absent_texts_take_no_place_in_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50, 60)] + [(50, "second"), (None, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 if i % 2 else 0) for i in range(60)] + [(51, 0), (None, 1)], "doc_id bigint, toxic int")
+    got = sampled(docs, labels, "doc_id", "text", "toxic", 4).collect()
+    ones, zeros = ([r["_key"] for r in got if r["_label"] == v] for v in (1, 0))
+    assert len(ones) == len(zeros) == 4 and all(k >= 50 and k % 2 for k in ones) and all(k >= 50 and k % 2 == 0 for k in zeros)
+    assert len({r["_key"] for r in got}) == 8
