@@ -19,7 +19,7 @@ from .operators import counts, distinct, parse, topn
 from .session import scratch_dir, session_conf
 from .sources import events as source
 from .sources.readers import read_lines, stream_files
-from .streaming import jobs, live, patterns, sinks
+from .streaming import jobs, late, live, patterns, sinks
 
 DELAY = "10 minutes"
 BATCHES, FILES = 3, 8
@@ -264,6 +264,18 @@ def stream_hot_urls_report(spark, folder):
     return _reports(spark, requests, "url", 5, topn.url_report, size="1 minute", slide="5 seconds")
 
 
+@query("stream_late_records", "SELECT event_id, ts IS NOT NULL AS timed, true AS once FROM events")
+def stream_late_records(spark, folder):
+    """A gate with a shorter delay than records are held up parts accepted, late and timeless records; no record is lost."""
+    path = scratch_dir(spark, "gate")
+    stream = event_time(_events(spark, folder), "ts", to="ts").where("event_id >= 0")
+    with session_conf(spark, jobs.STATE_SETTINGS):
+        sinks.run_available(stream.writeStream.foreachBatch(late.gate(path, "2 minutes")), f"{path}/checkpoint")
+    by_status = late.read_gate(spark, path).groupBy("event_id").agg(
+        F.max((F.col("status") != late.NO_TIME).cast("int")).alias("_timed"), F.count("*").alias("_n"))
+    return by_status.select("event_id", (F.col("_timed") == 1).alias("timed"), (F.col("_n") == 1).alias("once"))
+
+
 @query("land_raw_stream", SQL["parse_behavior_csv"])
 def land_raw_stream(spark, folder):
     """Lines are landed as they come and parsed from the landed files."""
