@@ -57,10 +57,14 @@ def check_model(model: str) -> None:
         raise ValueError("the model has pieces that cross a white-space marker")
 
 
+def _compressed(body: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=9).compress(body, asbytes=True)
+
+
 def _packed(values: np.ndarray) -> bytes:
     """Whole numbers byte by byte (all lowest bytes first), compressed."""
     planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+    return _compressed(planes.tobytes())
 
 
 def _unpacked(body: bytes | pa.Buffer, n: int) -> np.ndarray:
@@ -127,7 +131,7 @@ def _coded(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             lengths = pc.binary_length(own).to_numpy()
             flat = b"".join(own.to_pylist())
             body = _packed(lengths)
-            rows.append((name, b, len(own), len(body).to_bytes(8, "little") + body + pa.compress(flat, codec="zstd", asbytes=True)))
+            rows.append((name, b, len(own), len(body).to_bytes(8, "little") + body + _compressed(flat)))
         yield _sent(rows)
 
 
