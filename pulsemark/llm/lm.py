@@ -4,9 +4,11 @@ Tokens are the lower-cased words of a text and one end. Output units are the mos
 ``SHARED`` units among which all other tokens are dealt by hash; a token's probability within a shared unit is its
 smoothed count there. Units are sorted by frequency into classes: P(token | history) = P(class | history) * P(unit |
 class, history) * P(token | unit). Both softmaxes add rows of weights for hashed features of the history: the previous
-token, the previous two, and the one before the previous (a skip). Weights start at the unigram distribution and are
-updated in ``ROUNDS`` rounds; each takes the gradient over its share of all training texts, summed by Spark block by
-block, and one damped diagonal Newton step. Every training token is used once.
+token, the previous two, and the one before the previous (a skip). Weights start at the unigram distribution. Under it
+all histories predict alike, so the first update needs no softmax: counts of (row, outcome) over most of the training
+texts give an iterative-scaling step in closed form, ``SCALING`` of the log of observed over expected. Each of the
+``ROUNDS`` updates after it takes the gradient over its share of the texts left, and one damped diagonal Newton step.
+Spark sums both block by block, in the order of the tasks. Every training token is used once.
 
 Counts are exact and cover all training texts. The ``HEAD`` most frequent tokens are broadcast with their counts, a
 table of fixed size; occurrences of all others are joined with the table of counts. Tokens are told apart by a 64-bit
@@ -26,7 +28,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .blocks import groups
 from .columns import stored
 
 CLASSES = 32
@@ -34,13 +35,15 @@ UNITS = 32  # of a class
 SHARED = 256
 OWN = CLASSES * UNITS - SHARED
 HEAD = 1 << 17
-ROUNDS = 3
-CLASS_ROWS = 1 << 13
-UNIT_ROWS = 1 << 14
+ROUNDS = 2
+COUNTED = 10  # shares of the training texts that are counted; a round takes one
+SCALING, SPARSE = 0.7, 60.0  # part of the log ratio; a row's prior observations
+CLASS_ROWS = 1 << 15
+UNIT_ROWS = 1 << 16
 BLOCK_ROWS = 512
 SALTS = 8
 STEP = 16_384  # tokens scored at a time
-PRIOR = 20.0  # drawn towards 0 as by so many observations
+PRIOR = 200.0  # drawn towards 0 as by so many observations
 END = np.uint64(0xE1D5A3C79B2F8641)
 _BEGIN = np.uint64(0x6C62272E07BB0142)
 
@@ -55,7 +58,8 @@ class Model(NamedTuple):
     class_bias: np.ndarray
     unit_bias: np.ndarray  # (CLASSES, UNITS)
     class_rows: np.ndarray  # (CLASS_ROWS, CLASSES)
-    unit_rows: np.ndarray  # (UNIT_ROWS, UNITS)
+    unit_rows: np.ndarray  # (UNIT_ROWS, UNITS); each class has rows of its own
+    begin: np.ndarray  # first of the rows of each class, one more than classes
     tokens: int  # N
     distinct: int  # V
 
@@ -115,7 +119,13 @@ def start(counts: DataFrame) -> Model:
     units = np.where(np.arange(len(token)) < own, unit[np.minimum(np.arange(len(token)), OWN - 1)], unit[OWN + _slot(token)])
     return Model(token[by], c[by], units[by], unit[OWN:], spread, single, np.log(share.sum(1) / share.sum()).astype(np.float32),
                  np.log(share / share.sum(1, keepdims=True)).astype(np.float32), np.zeros((CLASS_ROWS, CLASSES), np.float32),
-                 np.zeros((UNIT_ROWS, UNITS), np.float32), int(total[1]), int(total[0]))
+                 np.zeros((UNIT_ROWS, UNITS), np.float32), _begin(share.sum(1)), int(total[1]), int(total[0]))
+
+
+def _begin(mass: np.ndarray) -> np.ndarray:
+    """Deals the unit rows among classes: half of them evenly, half by how often a class occurs."""
+    part = 0.5 / CLASSES + 0.5 * mass / mass.sum()
+    return np.concatenate([[0], np.floor(np.cumsum(part)[:-1] * UNIT_ROWS), [UNIT_ROWS]]).astype(np.int64)
 
 
 def look_up(model: Model, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,9 +146,10 @@ def histories(token: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return [tx.mix(one), tx.mix(one * np.uint64(3) ^ tx.mix(two)), tx.mix(two ^ np.uint64(0x5BD1E995))]
 
 
-def _rows(features: list[np.ndarray], group: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _rows(model: Model, features: list[np.ndarray], group: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
     classes = [(f % np.uint64(CLASS_ROWS)).astype(np.int64) for f in features]
-    units = [(tx.mix(f ^ (group.astype(np.uint64) << np.uint64(32))) % np.uint64(UNIT_ROWS)).astype(np.int64) for f in features]
+    size = np.diff(model.begin).astype(np.uint64)[group]
+    units = [model.begin[group] + ((f >> np.uint64(16)) % size).astype(np.int64) for f in features]
     return classes, units
 
 
@@ -155,7 +166,7 @@ def _steps(model: Model, token: np.ndarray, first: np.ndarray, unit: np.ndarray)
     for at in range(0, len(token), STEP):
         part = slice(at, at + STEP)
         group, inner = unit[part] // UNITS, unit[part] % UNITS
-        classes, units = _rows([f[part] for f in features], group)
+        classes, units = _rows(model, [f[part] for f in features], group)
         p = _softmax(model.class_bias + sum(model.class_rows[r] for r in classes))
         q = _softmax(model.unit_bias[group] + sum(model.unit_rows[r] for r in units))
         yield part, group, inner, classes, units, p, q
@@ -169,9 +180,24 @@ def _add_rows(table: np.ndarray, seen: np.ndarray, rows: np.ndarray, values: np.
     seen[rows[heads]] += np.diff(np.concatenate([heads, [len(rows)]]))
 
 
+def _counted(model: Model, batches):
+    """Per row how often each outcome follows its histories, for all rows of a task."""
+    tables = _tables()
+    for part in tx.slices(batches):
+        token, first = tokens(part)
+        _, unit = look_up(model, token)
+        group, inner = unit // UNITS, unit % UNITS
+        for rows, table, outcome in zip(_rows(model, histories(token, first), group), tables, (group, inner), strict=True):
+            for r in rows:
+                np.add.at(table.reshape(-1), r * table.shape[1] + outcome, np.float32(1))
+    for table in tables:
+        table[:, -1] = table[:, :-1].sum(1)
+    yield from _blocks(tables)
+
+
 def _gradient(model: Model, batches):
-    """The gradient of all rows of a task, in blocks of rows that it touched."""
-    slopes = [np.zeros((CLASS_ROWS, CLASSES + 1), np.float32), np.zeros((UNIT_ROWS, UNITS + 1), np.float32)]
+    """The gradient of all rows of a task, and how often each row was seen."""
+    tables = _tables()
     for part in tx.slices(batches):
         token, first = tokens(part)
         _, unit = look_up(model, token)
@@ -181,10 +207,19 @@ def _gradient(model: Model, batches):
             q *= -1
             p[at, group] += 1
             q[at, inner] += 1
-            for table, rows, error in ((slopes[0], classes, p), (slopes[1], units, q)):
+            for table, rows, error in ((tables[0], classes, p), (tables[1], units, q)):
                 for r in rows:
                     _add_rows(table[:, :-1], table[:, -1], r, error)
-    for which, table in enumerate(slopes):
+    yield from _blocks(tables)
+
+
+def _tables(kind=np.float32) -> list[np.ndarray]:
+    return [np.zeros((CLASS_ROWS, CLASSES + 1), kind), np.zeros((UNIT_ROWS, UNITS + 1), kind)]
+
+
+def _blocks(tables: list[np.ndarray]):
+    """The blocks of rows that a task has touched."""
+    for which, table in enumerate(tables):
         for block in range(len(table) // BLOCK_ROWS):
             part = table[block * BLOCK_ROWS:(block + 1) * BLOCK_ROWS]
             if part[:, -1].any():
@@ -192,44 +227,62 @@ def _gradient(model: Model, batches):
 
 
 def _summed(batches):
-    """Blocks sorted by ``_group`` added up as they come."""
-    for table in groups(batches):
-        keys = table.column("_group").to_numpy()
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
-        for at, to in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            total = None
-            for blob in table.column("slope").slice(at, to - at):
-                one = np.frombuffer(blob.as_buffer(), np.float32)
-                total = one.copy() if total is None else total + one
-            yield pa.RecordBatch.from_arrays([pa.array([keys[at]]), pa.array([total.tobytes()])], ["_group", "slope"])
+    """Blocks sorted by ``_group`` added up as they come, one at a time."""
+    at, total = None, None
+
+    def done():
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([total.astype(np.float32).tobytes()])], ["_group", "slope"])
+
+    for batch in batches:
+        for group, blob in zip(batch.column("_group").to_pylist(), batch.column("slope"), strict=True):
+            if group != at:
+                if at is not None:
+                    yield done()
+                at, total = group, 0.0
+            total = total + np.frombuffer(blob.as_buffer(), np.float32).astype(float)
+    if at is not None:
+        yield done()
+
+
+def _sum(docs: DataFrame, model: Model, of) -> list[np.ndarray]:
+    """The tables that ``of`` makes of every task's texts, added up in the order of the tasks."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def made(batches):
+        for block, part in of(shared.value, batches):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part.tobytes()])], ["block", "slope"])
+
+    part = F.spark_partition_id()
+    rows = docs.select("text").mapInArrow(made, "block bigint, slope binary").withColumn("_part", part)
+    rows = rows.withColumn("_group", F.col("block") * SALTS + F.pmod("_part", F.lit(SALTS)))
+    rows = rows.repartition("_group").sortWithinPartitions("_group", "_part").select("_group", "slope")
+    got = rows.mapInArrow(_summed, "_group bigint, slope binary").orderBy("_group").toArrow()
+    tables = _tables(float)
+    for group, blob in zip(got.column("_group").to_pylist(), got.column("slope"), strict=True):
+        which, block = (group // SALTS) >> 16, (group // SALTS) & 0xFFFF
+        part = np.frombuffer(blob.as_buffer(), np.float32).reshape(BLOCK_ROWS, -1)
+        tables[which][block * BLOCK_ROWS:(block + 1) * BLOCK_ROWS] += part
+    shared.unpersist()
+    return tables
+
+
+def scaled(counts: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """Weights of rows (counts per outcome, and in all) against the probabilities ``expected`` without history."""
+    seen = (counts[:, :-1] + SPARSE * expected) / (counts[:, -1:] + SPARSE)
+    return (SCALING * np.log(seen / expected)).astype(np.float32)
 
 
 def train(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
-    """``model`` after ``rounds`` updates; each reads its own share of ``docs``."""
-    spark = docs.sparkSession
-    shares = docs.select("text", F.pmod(F.xxhash64("text"), F.lit(rounds)).alias("share"))
-    damping = [np.exp(model.class_bias), np.exp(model.unit_bias).mean(0)]
-    damping = [d * (1 - d) for d in damping]
+    """``model`` after the counted update and ``rounds`` gradient ones; each reads its own share of ``docs``."""
+    share = F.pmod(F.xxhash64("text"), F.lit(COUNTED + rounds))
+    plain = np.exp(model.class_bias), np.exp(model.unit_bias)[np.repeat(np.arange(CLASSES), np.diff(model.begin))]
+    counts = _sum(docs.where(share < COUNTED), model, _counted)
+    model = model._replace(class_rows=scaled(counts[0], plain[0]), unit_rows=scaled(counts[1], plain[1]))
     for nth in range(rounds):
-        shared = spark.sparkContext.broadcast(model)
-
-        def sloped(batches, shared=shared):
-            for block, part in _gradient(shared.value, batches):
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part.tobytes()])], ["block", "slope"])
-
-        made = shares.where(F.col("share") == nth).select("text").mapInArrow(sloped, "block bigint, slope binary")
-        made = made.withColumn("_group", F.col("block") * SALTS + F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-        made = made.select("_group", "slope").repartition("_group").sortWithinPartitions("_group")
-        got = made.mapInArrow(_summed, "_group bigint, slope binary").orderBy("_group").toArrow()
-        slopes = [np.zeros((CLASS_ROWS, CLASSES + 1)), np.zeros((UNIT_ROWS, UNITS + 1))]
-        for group, blob in zip(got.column("_group").to_pylist(), got.column("slope"), strict=True):
-            which, block = (group // SALTS) >> 16, (group // SALTS) & 0xFFFF
-            part = np.frombuffer(blob.as_buffer(), np.float32).reshape(BLOCK_ROWS, -1)
-            slopes[which][block * BLOCK_ROWS:(block + 1) * BLOCK_ROWS] += part
-        shared.unpersist()
+        slopes = _sum(docs.where(share == COUNTED + nth), model, _gradient)
         new = []
-        for old, slope, flat in zip((model.class_rows, model.unit_rows), slopes, damping, strict=True):
-            step = slope[:, :-1] / (slope[:, -1:] * np.maximum(flat, 1e-3) * 3 + PRIOR)
+        for old, slope, flat in zip((model.class_rows, model.unit_rows), slopes, plain, strict=True):
+            step = slope[:, :-1] / (slope[:, -1:] * np.maximum(flat * (1 - flat), 1e-3) * 3 + PRIOR)
             new.append((old + np.clip(step, -1, 1)).astype(np.float32))
         model = model._replace(class_rows=new[0], unit_rows=new[1])
     return model

@@ -156,7 +156,7 @@ def test_lm_probabilities_sum_to_one():
                      np.zeros(1024, bool), rng.standard_normal(lm.CLASSES).astype(np.float32),
                      rng.standard_normal((lm.CLASSES, lm.UNITS)).astype(np.float32),
                      rng.standard_normal((lm.CLASS_ROWS, lm.CLASSES)).astype(np.float32),
-                     rng.standard_normal((lm.UNIT_ROWS, lm.UNITS)).astype(np.float32), 0, 0)
+                     rng.standard_normal((lm.UNIT_ROWS, lm.UNITS)).astype(np.float32), lm._begin(np.ones(lm.CLASSES)), 0, 0)
     total = 0.0
     for unit in range(1024):  # one history, every unit as what comes next
         token = np.array([5, 9, 11], np.uint64)
