@@ -1,8 +1,11 @@
 """Near-duplicate vectors by spherical-cap filters.
 
 Filters are directions of a structured product code: the space, turned at random, is cut into ``PARTS`` subspaces of
-equal size, each with ``CODE`` random unit directions, and every combination of one direction per subspace is a filter.
-A vector belongs to every filter whose inner product with it exceeds a threshold. List decoding finds just those:
+equal size, each with as many random unit directions, and every combination of one direction per subspace is a filter.
+A vector belongs to every filter whose inner product with it exceeds a threshold. Both follow from the number of different
+vectors of a label: so many directions, rounded up to a power of two, that a random vector which belongs to ``WANTED``
+filters meets about ``LIST`` others in each. What a vector is compared with then stays about the same however many rows a
+label has, and the chance that two vectors of cosine 0.98 share no filter stays far below a hundredth. List decoding finds just those:
 directions of each subspace are tried from the best down, and a branch ends where the best of the remaining subspaces
 cannot reach the threshold. A vector whose filters are fewer than ``LEAST`` lowers its own threshold until they are not,
 so no vector is left without partners to meet.
@@ -19,8 +22,12 @@ its component has no id at all; rows that share an id are rows of their own, of
 
 from __future__ import annotations
 
+import functools
+from statistics import NormalDist
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,30 +37,43 @@ from .columns import stored
 from .graph import components
 
 PARTS = 2
-CODE = 64
-THRESHOLD = 2.3  # standard deviations of a random vector's inner product with a filter
-LEAST = 12
+LEAST_CODE = 8
+WANTED = 14  # filters of a random vector
+LIST = 32  # random vectors in a filter
+LEAST = 10
 COSINE = 0.98
 SEED = 11
 
 
-def code(size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def code_size(rows: int) -> int:
+    """Directions per subspace for a label of so many different vectors."""
+    directions = (rows * WANTED / LIST) ** (1 / PARTS)
+    return 1 << max(LEAST_CODE.bit_length() - 1, int(np.ceil(np.log2(max(directions, 1)))))
+
+
+def threshold(directions: int) -> float:
+    """In standard deviations of a random vector's inner product with a filter."""
+    return NormalDist().inv_cdf(1 - WANTED / directions ** PARTS)
+
+
+@functools.lru_cache(maxsize=32)
+def code(size: int, directions: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """The rotation and the directions of each subspace, for vectors of ``size`` components."""
-    rng = np.random.default_rng([SEED, size])
+    rng = np.random.default_rng([SEED, size, directions])
     turn, _ = np.linalg.qr(rng.standard_normal((size, size)))
-    parts = [rng.standard_normal((CODE, len(own))) for own in np.array_split(np.arange(size), PARTS)]
+    parts = [rng.standard_normal((directions, len(own))) for own in np.array_split(np.arange(size), PARTS)]
     return turn, [p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12) for p in parts]
 
 
-def decode(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def decode(units: np.ndarray, directions: int) -> tuple[np.ndarray, np.ndarray]:
     """(vector, filter) of every filter that each unit vector exceeds its threshold in, in order."""
     size = units.shape[1]
-    turn, parts = code(size)
+    turn, parts = code(size, directions)
     turned = units @ turn
     pieces = np.array_split(np.arange(size), PARTS)
     products = [turned[:, own] @ p.T / np.sqrt(PARTS) for own, p in zip(pieces, parts, strict=True)]
     best = [p.max(1) for p in products]
-    limit = np.full(len(units), THRESHOLD / np.sqrt(size))
+    limit = np.full(len(units), threshold(directions) / np.sqrt(size))
     todo = np.arange(len(units))
     vectors, filters = [], []
     while len(todo):
@@ -62,9 +82,9 @@ def decode(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             rest = sum(best[i + 1:]) if i + 1 < PARTS else np.zeros(len(units))
             sums = total[:, None] + product[row]
             at, direction = np.nonzero(sums + rest[row][:, None] >= limit[row][:, None])
-            row, name, total = row[at], name[at] * CODE + direction, sums[at, direction]
+            row, name, total = row[at], name[at] * directions + direction, sums[at, direction]
         found = np.bincount(row, minlength=len(units))
-        short = (found < min(LEAST, CODE ** PARTS)) & (np.bincount(todo, minlength=len(units)) > 0)
+        short = (found < min(LEAST, directions ** PARTS)) & (np.bincount(todo, minlength=len(units)) > 0)
         keep = ~short[row]
         vectors.append(row[keep])
         filters.append(name[keep])
@@ -93,26 +113,34 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def filtered(found: DataFrame) -> DataFrame:
-    """One row per class and filter of it: label, size, filter, node, rows, vector, filters (all of the class)."""
+    """One row per class and filter of it: label, size, filter, node, rows, vector, filters (all of the class).
+
+    Vectors travel as single precision where that loses nothing.
+    """
 
     def run(batches):
         for batch in batches:
-            sizes = np.array([len(v) for v in batch.column("vector")])
-            for size in np.unique(sizes):
-                for at in range(0, int((sizes == size).sum()), 512):
-                    part = batch.take(pa.array(np.flatnonzero(sizes == size)[at:at + 512]))
+            sizes = pc.list_value_length(batch.column("vector")).to_numpy(zero_copy_only=False)
+            codes = batch.column("code").to_numpy()
+            for size, directions in np.unique(np.stack([sizes, codes]), axis=1).T.tolist():
+                own_rows = np.flatnonzero((sizes == size) & (codes == directions))
+                for at in range(0, len(own_rows), 512):
+                    part = batch.take(pa.array(own_rows[at:at + 512]))
                     matrix = part.column("vector").flatten().to_numpy().reshape(-1, size).astype(float)
-                    row, name = decode(_unit(matrix))
+                    row, name = decode(_unit(matrix), directions)
+                    with np.errstate(over="ignore"):
+                        single = matrix.astype(np.float32)
+                    exact = (single == matrix).all()
                     first = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int64)
                     own = tx.binaries(name.astype(np.int32), first)
                     at_row = pa.array(row)
                     yield pa.RecordBatch.from_arrays([
                         part.column("label").take(at_row), pa.array(np.full(len(row), size)), pa.array(name),
                         part.column("node").take(at_row), part.column("rows").take(at_row),
-                        tx.fixed_binary(matrix).take(at_row), own.take(at_row),
+                        tx.fixed_binary(single if exact else matrix).take(at_row), own.take(at_row),
                     ], ["label", "size", "filter", "node", "rows", "vector", "filters"])
 
-    return found.select("label", "node", "rows", "vector").mapInArrow(
+    return found.select("label", "node", "rows", "vector", "code").mapInArrow(
         run, "label string, size bigint, filter bigint, node binary, rows bigint, vector binary, filters binary")
 
 
@@ -139,7 +167,8 @@ def _spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 def _compare(cosine: float):
     def compare(rows: pa.Table, side: np.ndarray | None):
         n = rows.num_rows
-        matrix = np.frombuffer(b"".join(rows.column("vector").to_pylist()), float).reshape(n, -1)
+        size = rows.column("size")[0].as_py()
+        matrix = np.stack([np.frombuffer(v, np.float32 if len(v) == 4 * size else float) for v in rows.column("vector").to_pylist()]).astype(float)
         units, here = _unit(matrix), rows.column("filter")[0].as_py()
         filters = [np.frombuffer(f, np.int32) for f in rows.column("filters").to_pylist()]
         left = np.arange(n) if side is None else np.flatnonzero(side)
@@ -191,7 +220,10 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     some = rows.where(F.col("node").isNotNull())
     found = stored(some.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.min("label").alias("label"),
                                             F.min("vector").alias("vector")), "cap-classes")
-    spread = stored(filtered(found.repartition("node")), "cap-filters")
+    sizes = found.groupBy("label").agg(F.count("*").alias("n"))
+    directions = F.pow(F.lit(2.0), F.greatest(F.lit(LEAST_CODE.bit_length() - 1), F.ceil(F.log2(F.col("n") * (WANTED / LIST)) / PARTS)))
+    coded = found.join(sizes.select("label", directions.cast("int").alias("code")), "label")
+    spread = stored(filtered(coded.repartition("node")), "cap-filters")
     made = stored(block_pairs(spread, ["label", "size", "filter"], "node", _compare(cosine), "a binary, b binary, links bigint"),
                   "cap-links")
     counts = made.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

@@ -158,14 +158,36 @@ def test_decoding_lists_every_filter_above_the_threshold():
     rng = np.random.default_rng(1)
     units = rng.standard_normal((40, 16))
     units /= np.linalg.norm(units, axis=1, keepdims=True)
-    row, name = caps.decode(units)
-    turn, (one, two) = caps.code(16)
-    turned = units @ turn
-    every = ((turned[:, :8] @ one.T)[:, :, None] + (turned[:, 8:] @ two.T)[:, None, :]).reshape(40, -1) / np.sqrt(2)
-    for i in range(40):
-        own = set(name[row == i].tolist())
-        above = set(np.flatnonzero(every[i] >= caps.THRESHOLD / 4).tolist())
-        assert above <= own and (len(above) >= caps.LEAST) <= (above == own) and len(own) >= caps.LEAST
+    for directions in (8, 64):
+        row, name = caps.decode(units, directions)
+        turn, (one, two) = caps.code(16, directions)
+        turned = units @ turn
+        every = ((turned[:, :8] @ one.T)[:, :, None] + (turned[:, 8:] @ two.T)[:, None, :]).reshape(40, -1) / np.sqrt(2)
+        for i in range(40):
+            own = set(name[row == i].tolist())
+            above = set(np.flatnonzero(every[i] >= caps.threshold(directions) / 4).tolist())
+            assert above <= own and (len(above) >= caps.LEAST) <= (above == own) and len(own) >= caps.LEAST
+
+
+@pytest.mark.parametrize("size, n", [(64, 500), (64, 4000), (64, 20_000), (16, 4000), (256, 2000)])
+def test_compared_pairs_and_recall_as_rows_grow(size, n):
+    """What a vector is compared with does not grow with the rows; pairs just above the threshold still meet."""
+    rng = np.random.default_rng(size + n)
+    units = rng.standard_normal((n, size))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    directions = caps.code_size(n)
+    row, name = caps.decode(units, directions)
+    lists = np.bincount(name)
+    assert (lists * (lists - 1.0)).sum() / n < 4 * caps.WANTED * caps.LIST
+    # partners at a cosine of 0.98 to 0.981
+    some = units[:400]
+    off = rng.standard_normal(some.shape)
+    off -= (off * some).sum(1, keepdims=True) * some
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    cosine = rng.uniform(0.98, 0.981, (400, 1))
+    other, its = caps.decode(cosine * some + np.sqrt(1 - cosine ** 2) * off, directions)
+    met = [bool(set(name[row == i]) & set(its[other == i])) for i in range(400)]
+    assert np.mean(met) >= 0.99
 
 
 def brute_trim(texts, span=suffixes.SPAN):
