@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -57,35 +59,60 @@ def running_totals(rows: DataFrame, keys: Sequence[str], value: str) -> DataFram
     return rows.select(*keys, "batch_id", F.sum(value).over(upto).alias("count"))
 
 
-def upsert_batches(path: str, keys: Sequence[str], every: int = 16) -> BatchWriter:
+def upsert_batches(path: str, keys: Sequence[str], every: int = 16, buckets: int = 64) -> BatchWriter:
     """A latest-value table that compacts itself: each batch is a folder of changes, and every so many batches the newest
-    rows per key so far become a version of the table. A version is named only once it is written, so readers and
-    repeated batches never see half of one. ``read_upserts`` reads the newest version and the changes after it."""
+    rows per key are written as a version of the buckets of keys that have changed since; the others stay as they are. A
+    version is named only once it is written, so readers and repeated batches never see half of one. ``read_upserts`` reads
+    the newest version of each bucket and the changes after it."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        batch.withColumn("_bucket", bucket).write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
         if batch_id % every == every - 1:
-            newest = read_upserts(spark, path, keys, before=batch_id)
-            newest.write.mode("overwrite").parquet(f"{path}/versions/version={batch_id}")
-            spark.range(batch_id, batch_id + 1).toDF("version").write.mode("append").parquet(f"{path}/names")
+            versions = _versions(spark, path, batch_id)
+            since = _later(read_batches(spark, f"{path}/changes").where(F.col("batch_id") <= batch_id), versions)
+            touched = [r["_bucket"] for r in since.select("_bucket").distinct().collect()]  # at most ``buckets``
+            if touched:
+                newest = _newest(spark, path, [*keys, "_bucket"], versions, F.col("_bucket").isin(touched) & (F.col("batch_id") <= batch_id))
+                newest.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/versions/version={batch_id}")
+                names = spark.createDataFrame([(batch_id, b) for b in touched], "version bigint, bucket int")
+                names.coalesce(1).write.mode("append").parquet(f"{path}/names")
 
     return write
 
 
-def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], before: int | None = None) -> DataFrame:
-    """The newest row per key of an ``upsert_batches`` table; ``before`` leaves versions of that batch and later out."""
-    version = None
+def _versions(spark: SparkSession, path: str, before: int | None) -> dict[int, int]:
+    """The newest version of every bucket that has one."""
     try:
-        names = spark.read.parquet(f"{path}/names")
-        version = names.where(F.col("version") < before if before is not None else F.lit(True)).agg(F.max("version")).first()[0]
+        names = spark.read.parquet(f"{path}/names").where(F.col("version") < before if before is not None else F.lit(True))
+        return {r["bucket"]: r["version"] for r in names.groupBy("bucket").agg(F.max("version").alias("version")).collect()}
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    changes = read_batches(spark, f"{path}/changes")
-    if version is None:
-        return latest(changes, keys)
-    base = spark.read.parquet(f"{path}/versions/version={version}").withColumn("batch_id", F.lit(version).cast("bigint"))
-    return latest(changes.where(F.col("batch_id") > version).unionByName(base), keys)
+        return {}
+
+
+def _later(changes: DataFrame, versions: dict[int, int]) -> DataFrame:
+    """The changes that the versions do not hold."""
+    if not versions:
+        return changes
+    known = F.create_map(*[F.lit(x) for pair in versions.items() for x in pair])
+    return changes.where(F.col("batch_id") > F.coalesce(F.try_element_at(known, F.col("_bucket")), F.lit(-1)))
+
+
+def _newest(spark: SparkSession, path: str, keys: Sequence[str], versions: dict[int, int], wanted: Column) -> DataFrame:
+    rows = _later(read_batches(spark, f"{path}/changes"), versions).where(wanted)
+    if versions:
+        base = spark.read.parquet(f"{path}/versions")
+        mine = reduce(or_, [(F.col("version") == v) & (F.col("_bucket") == b) for b, v in versions.items()])
+        # both are folders, so only those named are read
+        rows = rows.unionByName(base.where(mine).withColumnRenamed("version", "batch_id").withColumn("batch_id", F.col("batch_id").cast("bigint")).where(wanted))
+    return latest(rows, keys)
+
+
+def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], before: int | None = None) -> DataFrame:
+    """The newest row per key of an ``upsert_batches`` table; ``before`` leaves versions of that batch and later out."""
+    return _newest(spark, path, keys, _versions(spark, path, before), F.lit(True)).drop("_bucket")
 
 
 def replace_statements(table: str, columns: Sequence[str], batch_id: int) -> list[str]:

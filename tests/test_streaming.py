@@ -145,6 +145,22 @@ def test_an_upsert_table_compacts_itself(spark, tmp_path):
     assert {r.version for r in spark.read.parquet(f"{path}/names").collect()} == {1, 3}
 
 
+def test_a_compaction_rewrites_touched_buckets_only(spark, tmp_path):
+    path, keys = str(tmp_path / "table"), ["k"]
+    write = sinks.upsert_batches(path, keys, every=1, buckets=16)
+    now = {k: k for k in range(400)}
+    write(spark.createDataFrame(list(now.items()), "k int, v int"), 0)
+    for n, changed in ((1, [3]), (2, [3, 5]), (3, [])):
+        now |= {k: 1000 * n + k for k in changed}
+        for _ in range(2):
+            write(spark.createDataFrame([(k, now[k]) for k in changed], "k int, v int"), n)
+        assert {r.k: r.v for r in sinks.read_upserts(spark, path, keys).collect()} == now
+    touched = {v: sorted(os.listdir(f"{path}/versions/version={v}")) for v in (0, 1, 2)}
+    assert len([b for b in touched[0] if b.startswith("_bucket")]) == 16
+    assert [len([b for b in touched[v] if b.startswith("_bucket")]) for v in (1, 2)] == [1, 2]
+    assert not os.path.exists(f"{path}/versions/version=3")  # nothing changed
+
+
 def test_a_repeated_batch_replaces_its_rows_in_a_database():
     assert sinks.replace_statements("ranks", ["window_end", "rank", "batch_id"], 7) == [
         "DELETE FROM ranks WHERE batch_id = 7",
