@@ -15,6 +15,7 @@ def seconds(spark, rows):
     )
 
 
+# Stated login rows with known answers.
 BURST = [(1, "192.168.0.1", "fail", 1558430842), (1, "192.168.0.2", "fail", 1558430843),
          (1, "192.168.0.3", "fail", 1558430844), (2, "192.168.10.10", "success", 1558430845)]
 SEQUENCE = [(1, "192.168.0.1", "fail", 1558430832), (1, "192.168.0.2", "fail", 1558430843),
