@@ -2,8 +2,8 @@
 
 Every stage takes and returns the columns of ``documents``. Toxic documents go, one of each group of near duplicates
 stays, documents with benchmark passages go, personal data is replaced by its kind, and the sources are mixed to their
-target weights, so a document may come out twice. Rows without an id cannot be judged as duplicates or contaminated and
-stay; the stages' operators say what they do with other odd rows.
+target weights, so a document may come out twice. Duplicates and benchmark passages are judged row by row, so texts that
+share an id, or have none, are judged each on its own; the stages' operators say what they do with other odd rows.
 """
 
 from __future__ import annotations
@@ -28,14 +28,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that hold a benchmark item go; an empty or null text holds none."""
     return contamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row stays; spans are replaced by their kind, and ``n_chars`` follows where a text has changed."""
     return pii.redacted(docs, length="n_chars" if "n_chars" in docs.columns else None)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as their source's target asks; a null source is one of its own, rows without words are balanced by number."""
     return mixing.mixed(docs)
 
 
