@@ -17,7 +17,7 @@ from ..functions.event_time import interval, micros
 from ..operators.patterns import CREATE, FAIL, PAY, SUCCESS, TIMEOUT
 from ..plans.lookahead import STRETCH
 from .jobs import ASCENDING
-from .reorder import NO_ID, Rule, in_stretches, reordered, without_ids
+from .reorder import NO_ID, Rule, in_buckets, in_stretches, reordered, without_ids
 
 HEADS = "user_id bigint, event_id bigint, ip string, event_type string, size bigint"
 MEMBERS = "user_id bigint, cut_us bigint, size bigint, event_id bigint, ip string, event_type string"
@@ -133,26 +133,27 @@ class Bursts(Rule):
     stretch: int
     members: bool
     columns = ["ip", "n"]
+    owner = "user_id"
 
     @property
     def keep(self) -> int:
         return 2 * self.reach
 
     def settle(self, key, rows, carry):
-        begin = rows.us[np.searchsorted(rows.us, rows.us - self.reach)]
+        begin = rows.us[rows.first_at(rows.us - self.reach)]
         n = rows.of["n"].to_numpy()
         at = np.flatnonzero(n > 0)
-        first = np.flatnonzero(np.append(True, np.diff(begin[at]) > 0)[:len(at)])
+        first = np.flatnonzero(np.append(True, (np.diff(begin[at]) != 0) | (np.diff(rows.owner[at]) != 0))[:len(at)])
         size = np.add.reduceat(n[at], first) if len(at) else n[at]
         wanted = (size > 1) & _home(key, begin[at][first], self.reach, self.stretch)
         ip = rows.of["ip"].to_numpy()
         if self.members:
             runs = np.diff(np.append(first, len(at)))
             at, size = at[np.repeat(wanted, runs)], np.repeat(size, runs)[np.repeat(wanted, runs)]
-            made = {"user_id": key[0], "cut_us": begin[at] + self.reach, "size": size, "event_id": rows.id[at], "ip": ip[at]}
+            made = {"user_id": rows.owner[at], "cut_us": begin[at] + self.reach, "size": size, "event_id": rows.id[at], "ip": ip[at]}
             return begin[at] + self.reach, pd.DataFrame({**made, "event_type": FAIL})
         at, size = at[first][wanted], size[wanted]
-        made = {"user_id": key[0], "event_id": rows.id[at], "ip": ip[at], "event_type": FAIL, "size": size}
+        made = {"user_id": rows.owner[at], "event_id": rows.id[at], "ip": ip[at], "event_type": FAIL, "size": size}
         return begin[at] + self.reach, pd.DataFrame(made)
 
 
@@ -172,5 +173,5 @@ def fail_bursts(logins: DataFrame, within="2 seconds", delay=ASCENDING, members:
             F.count("*").alias("n"), F.min(F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "ip")).alias("_head")).select(
             "user_id", "ts", F.unix_micros("ts").alias("us"), "_head.id", "_head.ip", "n")
     rows = in_stretches(rows, reach, after=F.lit(True), before=F.lit(True), stretch=stretch)
-    made = reordered(rows, ["user_id", "stretch"], Bursts(reach, stretch, members), MEMBERS if members else HEADS)
+    made = reordered(in_buckets(rows, "user_id"), ["bucket", "stretch"], Bursts(reach, stretch, members), MEMBERS if members else HEADS)
     return without_ids(made, "user_id", "event_id")

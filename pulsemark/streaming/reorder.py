@@ -5,8 +5,10 @@ rows of a key at once, as arrays. A rule says for each of its answers from which
 (``decided``); an answer leaves when the watermark passes that moment, once. Rows stay as long as a later answer may look
 back at them.
 
-The key of a pattern is (user or order, stretch of time), with copies of the rows just before or after a stretch as in
-``plans.lookahead``. So state and work per key are bounded by what happens in a stretch, however much a user does.
+The key of a pattern is (bucket of users or orders, stretch of time), with copies of the rows just before or after a
+stretch as in ``plans.lookahead``. So state and work per key are bounded by what happens in a stretch, however much a user
+does. A call of a rule and its state costs milliseconds however few its rows are, so users share a key: a rule takes the
+rows of all owners of a bucket at once, sorted by owner, and the number of calls does not grow with the users.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..functions.event_time import floor_to
 from ..plans.lookahead import STRETCH
 
+# Keys that the owners of a stretch's rows are dealt to by hash; fixed for a checkpoint.
+BUCKETS = 256
 NEVER = np.iinfo(np.int64).min
 # a missing id sorts first, as in batch, and is taken out again by ``without_ids``
 NO_ID = int(NEVER)
@@ -31,21 +35,38 @@ NO_ID = int(NEVER)
 
 @dataclass
 class Rows:
-    """Waiting rows in (us, id) order; ``of`` holds the other columns by name."""
+    """Waiting rows in (us, id) order, those of a rule with an owner in (owner, us, id) order; ``of`` holds the other
+    columns by name."""
 
     us: np.ndarray
     id: np.ndarray
     of: pd.DataFrame
+    owner: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.us)
 
+    def first_at(self, least: np.ndarray) -> np.ndarray:
+        """Per row, where its owner's rows at or after the moment ``least``, not later than the row's own, begin."""
+        n = len(self)
+        # asking and asked rows sorted together: an asking row comes before what it looks for
+        order = np.lexsort((np.repeat([0, 1], n), np.append(least, self.us), np.tile(self.owner, 2)))
+        found = np.empty(2 * n, np.int64)
+        found[order] = np.cumsum(order >= n)
+        return found[:n]
+
 
 class Rule:
-    """``columns``: what is kept of a row besides us and id. ``keep``: for how long (µs) a row may be looked back at."""
+    """``columns``: what is kept of a row besides us and id. ``keep``: for how long (µs) a row may be looked back at.
+    ``owner``: the column of whose rows are answered apart, if a key has those of several."""
 
     columns: list[str]
     keep: int
+    owner: str | None = None
+
+    @property
+    def order(self) -> list[str]:
+        return [*([self.owner] if self.owner else []), "us", "id"]
 
     def settle(self, key: tuple, rows: Rows, carry: bytes) -> tuple[np.ndarray, pd.DataFrame]:
         """All answers of the waiting rows, and the moment (µs) each is decided at."""
@@ -92,7 +113,7 @@ class Reordered(StatefulProcessor):
         least = None
         for frame in rows:
             if len(frame):
-                self.rows.appendValue((_put_away(frame[["us", "id", *self.rule.columns]]),))
+                self.rows.appendValue((_put_away(frame[[*self.rule.order, *self.rule.columns]]),))
                 first = int(frame["us"].min())
                 least = first if least is None else min(least, first)
         if least is None:
@@ -116,8 +137,9 @@ class Reordered(StatefulProcessor):
             return
         if len(bodies) == 1 and since >= now:
             return
-        frame = _taken_out(bodies).sort_values(["us", "id"], kind="stable", ignore_index=True)
-        rows = Rows(frame["us"].to_numpy(), frame["id"].to_numpy(), frame)
+        frame = _taken_out(bodies).sort_values(self.rule.order, kind="stable", ignore_index=True)
+        owner = frame[self.rule.owner].to_numpy() if self.rule.owner else None
+        rows = Rows(frame["us"].to_numpy(), frame["id"].to_numpy(), frame, owner)
         decided, answers = self.rule.settle(key, rows, carry)
         due = (decided > since) & (decided <= now)
         carry = self.rule.carried(key, rows, carry, since, now)
@@ -129,7 +151,8 @@ class Reordered(StatefulProcessor):
             else:
                 self.rows.clear()
             self.done.update((now, carry))
-            moments = [*later, *(kept["us"].tail(1) + self.rule.keep), *([self.rule.until(key)] if carry else [])]
+            moments = [*([later.min()] if len(later) else []), *([kept["us"].max() + self.rule.keep] if len(kept) else []),
+                       *([self.rule.until(key)] if carry else [])]
             self.handle.registerTimer(max(_timer(min(moments)), now_ms + 1))
         else:
             self.rows.clear()
@@ -159,12 +182,18 @@ def in_stretches(rows: DataFrame, reach: int, after: Column | None = None, befor
     return rows.withColumn("stretch", F.explode(F.concat(*places)))
 
 
+def in_buckets(rows: DataFrame, owner: str, buckets: int = BUCKETS) -> DataFrame:
+    """Each row in the ``bucket`` of its owner."""
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(owner), F.lit(buckets)))
+
+
 def reordered(rows: DataFrame, keys: list[str], rule: Rule, out: str) -> DataFrame:
-    """Answers of ``rule``; ``rows`` carry a watermark, ``us``, ``id`` and the rule's columns. Keys are bigints.
+    """Answers of ``rule``; ``rows`` carry a watermark, ``us``, ``id``, the rule's owner and its columns. Keys are bigints.
 
-    Missing ids and keys stand as ``NO_ID`` inside, as groups without a key would be lost on the way to Python.
+    Missing ids, owners and keys stand as ``NO_ID`` inside, as groups without a key would be lost on the way to Python.
     """
-    rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(NO_ID)) for c in ["id", *keys]})
+    missing = ["id", *keys, *([rule.owner] if rule.owner else [])]
+    rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(NO_ID)) for c in missing})
     return rows.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=Reordered(rule), outputStructType=out, outputMode="Append", timeMode="eventTime")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from pulsemark.operators import distinct, topn
 from pulsemark.operators import patterns as batch_patterns
 from pulsemark.plans.sliding import sliding_counts
 from pulsemark.session import session_conf
-from pulsemark.streaming import jobs, live, patterns, sinks
+from pulsemark.streaming import jobs, live, patterns, reorder, sinks
 from pulsemark.streaming.reorder import Rows
 from test_streaming import FAR, ITEM, Feed, item_batches
 
@@ -221,3 +222,93 @@ def test_batch_and_stream_agree_on_shared_instants(spark, tmp_path):
     out, _ = answers(spark, tmp_path, LOGIN, table, lambda s: patterns.fail_sequences(s, delay=DELAY), END)
     whole = batch_patterns.fail_sequences(logins(spark, rows), unit="ms")
     assert sorted(map(tuple, out.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+
+
+class Noted:
+    """State and timers of one key, in memory; counts the calls of a rule."""
+
+    def __init__(self):
+        self.rows, self.done, self.timers = [], None, []
+
+    def getListState(self, *_):
+        noted = self
+
+        class State:
+            appendValue = staticmethod(lambda row: noted.rows.append(row))
+            get = staticmethod(lambda: list(noted.rows))
+            put = staticmethod(lambda rows: noted.rows.__setitem__(slice(None), rows))
+            clear = staticmethod(lambda: noted.rows.clear())
+
+        return State
+
+    def getValueState(self, *_):
+        noted = self
+
+        class State:
+            exists = staticmethod(lambda: noted.done is not None)
+            get = staticmethod(lambda: noted.done)
+            update = staticmethod(lambda value: setattr(noted, "done", value))
+            clear = staticmethod(lambda: setattr(noted, "done", None))
+
+        return State
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def settled(rule, frame):
+    """Answers of one key that gets all rows at once, when the watermark has passed them all."""
+    handle, step = Noted(), reorder.Reordered(rule)
+    step.init(handle)
+    assert not list(step.handleInputRows((0, 0), iter([frame]), Clock(0)))
+    out = list(step.handleExpiredTimer((0, 0), Clock(10 ** 9), Clock(10 ** 9)))
+    assert not handle.rows and handle.done is None
+    return pd.concat(out) if out else pd.DataFrame()
+
+
+def in_one_key(rows, **columns):
+    """Rows of several owners as one key sees them, in a time that is one stretch."""
+    return pd.DataFrame({"us": [r[3] * 1000 for r in rows], "id": range(len(rows)), "ip": [r[1] for r in rows], **columns})
+
+
+USERS = random_logins(11, n=400, users=40, span_ms=20_000, hot=0.2)
+
+
+@pytest.mark.parametrize("members", [False, True])
+def test_users_of_one_state_keep_bursts_apart(members):
+    rows = [r for r in USERS if members or r[2] == "fail"]
+    frame = in_one_key(rows, user_id=[r[0] for r in rows], n=[int(r[2] == "fail") for r in rows])
+    got = settled(patterns.Bursts(2_000_000, 100, members), frame)
+    expected = brute_bursts(rows, 2_000, all_cut=members)
+    if members:
+        assert sorted(zip(got.user_id, got.cut_us, got["size"], got.event_id)) == sorted(
+            (u, cut * 1000, len(t), e[1]) for u, cut, t in expected for e in t)
+    else:
+        assert sorted(zip(got.user_id, got.event_id, got["size"])) == sorted((u, t[0][1], len(t)) for u, _, t in expected)
+
+
+def test_a_state_is_shared_by_users(spark, tmp_path):
+    """Each call costs milliseconds, so states do not grow in number with the users: 3,000 users, rows of one stretch."""
+    rows = [(u, f"ip{u}", "fail", at) for u in range(3_000) for at in (0, 500)]
+    table = [tuple(r) for r in logins(spark, rows).collect()]
+    for job, columns in ((patterns.fail_bursts, 5), (lambda s: patterns.fail_bursts(s, members=True), 6)):
+        path = tmp_path / uuid.uuid4().hex
+        path.mkdir()
+        feed = Feed(spark, path, LOGIN)
+        feed.add(table)
+        feed.add([END])
+        with session_conf(spark, jobs.STATE_SETTINGS):
+            out, query = feed.run(job(feed.stream("event_time")))
+        assert sorted(r.user_id for r in out.collect()) == sorted(list(range(3_000)) * (columns - 4))
+        waiting = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
+        assert 0 < max(m["numRegisteredTimers"] for m in waiting) < 3 * reorder.BUCKETS
