@@ -37,6 +37,7 @@ class Orders(Rule):
     reach: int
     stretch: int
     columns = ["pay"]
+    owner = "order_id"
 
     @property
     def keep(self) -> int:
@@ -48,9 +49,9 @@ class Orders(Rule):
         pays = np.append(np.flatnonzero(pay), len(rows))
         behind = pays[np.searchsorted(pays[:-1], at)]
         pay_us = np.append(rows.us, np.iinfo(np.int64).max)[behind]
-        paid = pay_us < rows.us[at] + self.reach
+        paid = (np.append(rows.owner, NO_ID)[behind] == rows.owner[at]) & (pay_us < rows.us[at] + self.reach)
         return np.where(paid, pay_us, rows.us[at] + self.reach), pd.DataFrame(
-            {"order_id": key[0], "create_id": rows.id[at], "event_type": np.where(paid, SUCCESS, TIMEOUT)})
+            {"order_id": rows.owner[at], "create_id": rows.id[at], "event_type": np.where(paid, SUCCESS, TIMEOUT)})
 
 
 def order_results(orders: DataFrame, within="15 minutes", delay=ASCENDING, stretch: int = STRETCH) -> DataFrame:
@@ -58,13 +59,13 @@ def order_results(orders: DataFrame, within="15 minutes", delay=ASCENDING, stret
     the last chance (append mode).
 
     One source, one state; a state holds the creates that are still open and the pays they may yet be paid with, of one
-    order and stretch of time. Columns: ``order_id, event_id, event_type, ts``.
+    bucket of orders and stretch of time. Columns: ``order_id, event_id, event_type, ts``.
     """
     reach = micros(within)
     rows = orders.where(F.col("event_type").isin(CREATE, PAY) & F.col("ts").isNotNull()).withWatermark("ts", interval(delay)).select(
         "order_id", "ts", F.unix_micros("ts").alias("us"), F.col("event_id").alias("id"), (F.col("event_type") == PAY).alias("pay"))
     rows = in_stretches(rows, reach, after=F.col("pay"), stretch=stretch)
-    return without_ids(reordered(rows, ["order_id", "stretch"], Orders(reach, stretch), RESULTS), "order_id", "create_id")
+    return without_ids(reordered(in_buckets(rows, "order_id"), ["bucket", "stretch"], Orders(reach, stretch), RESULTS), "order_id", "create_id")
 
 
 @dataclass

@@ -312,3 +312,13 @@ def test_a_state_is_shared_by_users(spark, tmp_path):
         assert sorted(r.user_id for r in out.collect()) == sorted(list(range(3_000)) * (columns - 4))
         waiting = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
         assert 0 < max(m["numRegisteredTimers"] for m in waiting) < 3 * reorder.BUCKETS
+
+
+def test_orders_of_one_state_are_kept_apart():
+    """The pay of another order does not pay a create."""
+    rng = random.Random(12)
+    rows = [(rng.randrange(60), rng.choice(["create", "create", "pay"]), rng.randrange(0, 120) * 500) for _ in range(400)]
+    frame = pd.DataFrame({"us": [r[2] * 1000 for r in rows], "id": range(len(rows)), "order_id": [r[0] for r in rows],
+                          "pay": [r[1] == "pay" for r in rows]})
+    got = settled(patterns.Orders(3_000_000, 100), frame)
+    assert sorted(zip(got.order_id, got.create_id, got.event_type)) == brute_orders(rows, 3_000)
