@@ -78,6 +78,7 @@ class Sequences(Rule):
     consecutive: bool
     pairs: bool
     columns = ["ip", "fail"]
+    owner = "user_id"
 
     @property
     def keep(self) -> int:
@@ -88,15 +89,15 @@ class Sequences(Rule):
         at = np.flatnonzero(fail)
         at, last = at[:max(len(at) - self.fails + 1, 0)], at[self.fails - 1:]
         hit = fail[np.minimum(at + 1, len(rows) - 1)] & (rows.us[last] < rows.us[at] + self.reach)
-        hit &= _home(key, rows.us[at], self.reach, self.stretch)
+        hit &= (rows.owner[last] == rows.owner[at]) & _home(key, rows.us[at], self.reach, self.stretch)
         if self.consecutive:
             hit &= last == at + self.fails - 1
         at, last = at[hit], last[hit]
         ip = rows.of["ip"].to_numpy()
         if self.pairs:
-            made = {"user_id": key[0], "first_id": rows.id[at], "first_ip": ip[at], "second_id": rows.id[last], "second_ip": ip[last]}
+            made = {"user_id": rows.owner[at], "first_id": rows.id[at], "first_ip": ip[at], "second_id": rows.id[last], "second_ip": ip[last]}
         else:
-            made = {"user_id": key[0], "start_id": rows.id[at], "event_id": rows.id[at + 1], "ip": ip[at + 1], "event_type": FAIL}
+            made = {"user_id": rows.owner[at], "start_id": rows.id[at], "event_id": rows.id[at + 1], "ip": ip[at + 1], "event_type": FAIL}
         return rows.us[last], pd.DataFrame(made)
 
 
@@ -114,7 +115,7 @@ def fail_sequences(logins: DataFrame, fails: int = 3, within="2 seconds", consec
     reach = micros(within)
     rows = in_stretches(_logins(logins, delay), reach, after=F.lit(True), stretch=stretch)
     rule = Sequences(reach, stretch, fails, consecutive, pairs=False)
-    return without_ids(reordered(rows, ["user_id", "stretch"], rule, SEQUENCES), "user_id", "start_id", "event_id")
+    return without_ids(reordered(in_buckets(rows, "user_id"), ["bucket", "stretch"], rule, SEQUENCES), "user_id", "start_id", "event_id")
 
 
 def fail_pairs(logins: DataFrame, within="2 seconds", delay=ASCENDING, stretch: int = STRETCH) -> DataFrame:
@@ -122,7 +123,7 @@ def fail_pairs(logins: DataFrame, within="2 seconds", delay=ASCENDING, stretch:
     reach = micros(within)
     rows = in_stretches(_logins(logins, delay), reach, after=F.lit(True), stretch=stretch)
     rule = Sequences(reach, stretch, 2, consecutive=True, pairs=True)
-    return without_ids(reordered(rows, ["user_id", "stretch"], rule, PAIRS), "user_id", "first_id", "second_id")
+    return without_ids(reordered(in_buckets(rows, "user_id"), ["bucket", "stretch"], rule, PAIRS), "user_id", "first_id", "second_id")
 
 
 @dataclass

@@ -322,3 +322,18 @@ def test_orders_of_one_state_are_kept_apart():
                           "pay": [r[1] == "pay" for r in rows]})
     got = settled(patterns.Orders(3_000_000, 100), frame)
     assert sorted(zip(got.order_id, got.create_id, got.event_type)) == brute_orders(rows, 3_000)
+
+
+@pytest.mark.parametrize("consecutive", [False, True])
+def test_sequences_of_one_state_are_kept_apart(consecutive):
+    frame = in_one_key(USERS, user_id=[r[0] for r in USERS], fail=[r[2] == "fail" for r in USERS])
+    got = settled(patterns.Sequences(2_000_000, 100, 3, consecutive, pairs=False), frame)
+    assert sorted(zip(got.user_id, got.start_id, got.event_id, got.ip)) == brute_sequences(USERS, 3, 2_000, consecutive)
+
+
+def test_pairs_of_one_state_are_kept_apart():
+    frame = in_one_key(USERS, user_id=[r[0] for r in USERS], fail=[r[2] == "fail" for r in USERS])
+    got = settled(patterns.Sequences(2_000_000, 100, 2, True, pairs=True), frame)
+    want = [(user, a[1], b[1]) for user, events in per_user(USERS).items() for a, b in itertools.pairwise(events)
+            if a[3] == b[3] == "fail" and b[0] - a[0] < 2_000]
+    assert want and sorted(zip(got.user_id, got.first_id, got.second_id)) == sorted(want)
