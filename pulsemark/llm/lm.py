@@ -24,7 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import text as tx
@@ -41,7 +41,8 @@ SCALING, SPARSE = 0.7, 60.0  # part of the log ratio; a row's prior observations
 CLASS_ROWS = 1 << 15
 UNIT_ROWS = 1 << 16
 BLOCK_ROWS = 512
-SALTS = 8
+SALTS = 8  # most sums of a block, each of that many tasks at least
+TASK_TOKENS = 1 << 21  # of a task that makes tables; its counts stay exact in single precision
 STEP = 16_384  # tokens scored at a time
 PRIOR = 200.0  # drawn towards 0 as by so many observations
 END = np.uint64(0xE1D5A3C79B2F8641)
@@ -244,8 +245,19 @@ def _summed(batches):
         yield done()
 
 
-def _sum(docs: DataFrame, model: Model, of) -> list[np.ndarray]:
-    """The tables that ``of`` makes of every task's texts, added up in the order of the tasks."""
+def _tasks(spark: SparkSession, expected: int) -> int:
+    """Tasks for about so many tokens: as many as run at once, more where there is more to read."""
+    return max(spark.sparkContext.defaultParallelism, -(-expected // TASK_TOKENS))
+
+
+def _sum(docs: DataFrame, model: Model, of, part_of: float = 1.0) -> list[np.ndarray]:
+    """The tables that ``of`` makes of every task's texts, added up in the order of the tasks.
+
+    A task hands on tables of nearly the same size however few its texts, so partitions of few tokens are read together;
+    ``docs`` hold ``part_of`` the training tokens.
+    """
+    tasks = _tasks(docs.sparkSession, int(model.tokens * part_of))
+    salts = min(SALTS, max(1, tasks // SALTS))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def made(batches):
@@ -253,13 +265,14 @@ def _sum(docs: DataFrame, model: Model, of) -> list[np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part.tobytes()])], ["block", "slope"])
 
     part = F.spark_partition_id()
-    rows = docs.select("text").mapInArrow(made, "block bigint, slope binary").withColumn("_part", part)
-    rows = rows.withColumn("_group", F.col("block") * SALTS + F.pmod("_part", F.lit(SALTS)))
+    few = docs.select("text").coalesce(tasks)
+    rows = few.mapInArrow(made, "block bigint, slope binary").withColumn("_part", part)
+    rows = rows.withColumn("_group", F.col("block") * salts + F.pmod("_part", F.lit(salts)))
     rows = rows.repartition("_group").sortWithinPartitions("_group", "_part").select("_group", "slope")
     got = rows.mapInArrow(_summed, "_group bigint, slope binary").orderBy("_group").toArrow()
     tables = _tables(float)
     for group, blob in zip(got.column("_group").to_pylist(), got.column("slope"), strict=True):
-        which, block = (group // SALTS) >> 16, (group // SALTS) & 0xFFFF
+        which, block = (group // salts) >> 16, (group // salts) & 0xFFFF
         part = np.frombuffer(blob.as_buffer(), np.float32).reshape(BLOCK_ROWS, -1)
         tables[which][block * BLOCK_ROWS:(block + 1) * BLOCK_ROWS] += part
     shared.unpersist()
@@ -276,10 +289,10 @@ def train(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     """``model`` after the counted update and ``rounds`` gradient ones; each reads its own share of ``docs``."""
     share = F.pmod(F.xxhash64("text"), F.lit(COUNTED + rounds))
     plain = np.exp(model.class_bias), np.exp(model.unit_bias)[np.repeat(np.arange(CLASSES), np.diff(model.begin))]
-    counts = _sum(docs.where(share < COUNTED), model, _counted)
+    counts = _sum(docs.where(share < COUNTED), model, _counted, COUNTED / (COUNTED + rounds))
     model = model._replace(class_rows=scaled(counts[0], plain[0]), unit_rows=scaled(counts[1], plain[1]))
     for nth in range(rounds):
-        slopes = _sum(docs.where(share == COUNTED + nth), model, _gradient)
+        slopes = _sum(docs.where(share == COUNTED + nth), model, _gradient, 1 / (COUNTED + rounds))
         new = []
         for old, slope, flat in zip((model.class_rows, model.unit_rows), slopes, plain, strict=True):
             step = slope[:, :-1] / (slope[:, -1:] * np.maximum(flat * (1 - flat), 1e-3) * 3 + PRIOR)

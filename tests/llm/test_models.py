@@ -204,3 +204,17 @@ def test_addresses(spark):
     rows = spark.createDataFrame([("https://M.Example.org/en/825?page=2",), ("http://a.b#x",), (None,)], "url string")
     got = [tuple(r) for r in rows.select(quality.url_host("url"), quality.url_path("url")).collect()]
     assert got == [("m.example.org", "en"), ("a.b", ""), (None, None)]
+
+
+def test_lm_partitions_of_few_tokens_share_tables(spark):
+    """A task's tables have nearly the same size however few its texts: 64 small partitions do not make 64 of them."""
+    docs = spark.createDataFrame([(f"a b c{i}",) for i in range(200)], "text string").repartition(64)
+
+    def rows(model, batches):
+        part = np.zeros((lm.BLOCK_ROWS, lm.CLASSES + 1), np.float32)
+        part[0, :2] = 1, sum(batch.num_rows for batch in batches)
+        yield 0, part
+
+    found = lm._sum(docs, lm.start(lm.count(docs)), rows)[0][0]
+    assert found[0] <= spark.sparkContext.defaultParallelism and found[1] == 200
+    assert lm._tasks(spark, 1000 * lm.TASK_TOKENS) == 1000
